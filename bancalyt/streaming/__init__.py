@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The catalogue this engine reproduces has no stream source, sink,
+watermark, event-time window or state; every query is a batch read of the
+tables at call time.  Nothing is added here beyond it (see README).
+"""
