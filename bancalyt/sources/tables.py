@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +22,13 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-@dataclass(frozen=True)
 class BankTables:
-    """Lazy DataFrames of the logical model (one per table)."""
+    """Lazy DataFrames of the logical model, one attribute per table.
 
-    clientes: DataFrame
-    cuentas: DataFrame
-    prestamos: DataFrame
-    score: DataFrame
-    sucursales: DataFrame
-    provincias: DataFrame
-    productos: DataFrame
-    cliente_productos: DataFrame
+    Each table is defined by a zero-argument factory and only planned when
+    a query first touches it, so a query over two tables does not pay for
+    analysing the other six.
+    """
 
     # attribute name -> logical table name
     NAMES = {
@@ -46,12 +41,49 @@ class BankTables:
         "productos": "Productos",
         "cliente_productos": "ClienteProductos",
     }
+    clientes: DataFrame
+    cuentas: DataFrame
+    prestamos: DataFrame
+    score: DataFrame
+    sucursales: DataFrame
+    provincias: DataFrame
+    productos: DataFrame
+    cliente_productos: DataFrame
+
+    def __init__(self, factories: Mapping[str, Callable[[], DataFrame]]):
+        missing = set(self.NAMES.values()) - set(factories)
+        if missing:
+            raise ValueError(f"missing tables: {sorted(missing)}")
+        self._factories = dict(factories)
+        self._frames: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """The DataFrame of a logical table, by its name (``Clientes``...)."""
+        if name not in self._frames:
+            self._frames[name] = self._factories[name]()
+        return self._frames[name]
+
+    def __getattr__(self, attr: str) -> DataFrame:
+        names = type(self).NAMES
+        if attr in names:
+            return self.table(names[attr])
+        raise AttributeError(attr)
 
     @classmethod
-    def from_mapping(cls, frames: dict[str, DataFrame]) -> "BankTables":
-        """Build from ``{logical table name: DataFrame}``, conforming each."""
-        return cls(**{attr: conform(frames[name], name) for attr, name in cls.NAMES.items()})
+    def from_mapping(cls, frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                     conformed: bool = False) -> "BankTables":
+        """Build from ``{logical table name: DataFrame or factory}``.
+
+        Frames are projected onto the declared schemas unless the source
+        already produces them (``conformed=True``).
+        """
+        def factory(name, src):
+            def make():
+                df = src() if callable(src) else src
+                return df if conformed else conform(df, name)
+            return make
+        return cls({name: factory(name, src) for name, src in frames.items()})
 
     def items(self) -> list[tuple[str, DataFrame]]:
         """``(logical table name, DataFrame)`` pairs in declaration order."""
-        return [(self.NAMES[f.name], getattr(self, f.name)) for f in fields(self)]
+        return [(name, self.table(name)) for name in self.NAMES.values()]

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bancalyt.sources.tables import BankTables
 
@@ -38,8 +39,28 @@ BIRTH_EPOCH = "1950-01-01"
 # ------------------------------------------------------------------------
 
 
+# Columns of the test tables that the mapping reads, with their parquet
+# types.  Declaring them skips footer-based schema inference on the driver
+# (the larger part of planning time on small inputs) and fails fast if a
+# file's types drift.
+_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+SOURCE_COLUMNS: dict[str, list[tuple[str, T.DataType]]] = {
+    "customer": [("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                 ("c_mktsegment", _S)],
+    "orders": [("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S),
+               ("o_totalprice", _D), ("o_orderpriority", _S)],
+    "nation": [("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)],
+    "region": [("r_regionkey", _I), ("r_name", _S)],
+    "part": [("p_partkey", _L), ("p_type", _S)],
+    "lineitem": [("l_orderkey", _L), ("l_partkey", _L), ("l_linenumber", _I),
+                 ("l_returnflag", _S)],
+    "events": [("event_id", _L), ("user_id", _L), ("event_type", _S)],
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    schema = T.StructType([T.StructField(c, t) for c, t in SOURCE_COLUMNS[name]])
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _risk(score: Column) -> Column:
@@ -56,46 +77,61 @@ def _event_status(event_type: Column) -> Column:
     return out
 
 
-def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The eight logical tables as unconformed DataFrames."""
-    customer = _read(spark, sf_dir, "customer")
-    orders = _read(spark, sf_dir, "orders")
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
-    part = _read(spark, sf_dir, "part")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    events = _read(spark, sf_dir, "events")
-
-    # nation is the fixed 25-row TPC-H dimension: a broadcast of a proven size
-    clientes = (
-        customer.join(F.broadcast(nation.select("n_nationkey", "n_regionkey")),
-                      customer.c_nationkey == nation.n_nationkey, "left")
+class _Sources:
+    """Lazily opened scans of the test tables (one per name)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._dfs = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._dfs:
+            self._dfs[name] = _read(self.spark, self.sf_dir, name)
+        return self._dfs[name]
+
+
+def _clientes(src: _Sources) -> DataFrame:
+    customer = src["customer"]
+    # nation is the fixed 25-row TPC-H dimension: a broadcast of a proven
+    # size.  Declaring its key unique lets the optimizer drop this outer
+    # join from queries that do not read id_provincia.
+    nation = src["nation"].select("n_nationkey", "n_regionkey").dropDuplicates(["n_nationkey"])
+    return (
+        customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
         .select(
             F.col("c_custkey").alias("id_cliente"),
             F.split_part("c_name", F.lit("#"), F.lit(1)).alias("nombre"),
             F.split_part("c_name", F.lit("#"), F.lit(2)).alias("apellidos"),
             F.col("c_mktsegment").alias("segmento"),
-            F.col("c_nationkey").alias("id_sucursal"),
-            F.col("n_regionkey").alias("id_provincia"),
+            F.col("c_nationkey").cast("long").alias("id_sucursal"),
+            F.col("n_regionkey").cast("long").alias("id_provincia"),
             (F.col("c_acctbal") >= 0).alias("activo"),
             F.date_add(F.lit(BIRTH_EPOCH).cast("date"),
                        ((F.col("c_custkey") * 37) % 18000).cast("int")).alias("fecha_nacimiento"),
         )
     )
-    cuentas = orders.select(
+
+
+def _cuentas(src: _Sources) -> DataFrame:
+    return src["orders"].select(
         F.col("o_orderkey").alias("id_cuenta"),
         F.col("o_custkey").alias("id_cliente"),
         F.col("o_orderpriority").alias("tipo_cuenta"),
         F.round(F.col("o_totalprice") / 5, 2).cast("decimal(14,2)").alias("saldo"),
         (F.col("o_orderstatus") != "F").alias("activa"),
     )
-    prestamos = events.select(
+
+
+def _prestamos(src: _Sources) -> DataFrame:
+    return src["events"].select(
         F.col("event_id").alias("id_prestamo"),
         F.col("user_id").alias("id_cliente"),
         _event_status(F.col("event_type")).alias("estado"),
     )
+
+
+def _score(src: _Sources) -> DataFrame:
     score_value = F.floor((F.col("c_acctbal") + 1000) / 11).cast("int")
-    score = customer.select(
+    return src["customer"].select(
         F.col("c_custkey").alias("id_cliente"),
         score_value.alias("score_credito"),
         _risk(score_value).alias("riesgo"),
@@ -103,21 +139,34 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("c_custkey") % 3 == 0).alias("propension_inversion"),
         (F.col("c_nationkey") % 2 == 0).alias("propension_seguro"),
     )
-    sucursales = nation.select(
-        F.col("n_nationkey").alias("id_sucursal"),
+
+
+def _sucursales(src: _Sources) -> DataFrame:
+    return src["nation"].select(
+        F.col("n_nationkey").cast("long").alias("id_sucursal"),
         F.col("n_name").alias("nombre"),
-        F.col("n_regionkey").alias("id_provincia"),
+        F.col("n_regionkey").cast("long").alias("id_provincia"),
     )
-    provincias = region.select(
-        F.col("r_regionkey").alias("id_provincia"),
+
+
+def _provincias(src: _Sources) -> DataFrame:
+    return src["region"].select(
+        F.col("r_regionkey").cast("long").alias("id_provincia"),
         F.col("r_name").alias("nombre"),
     )
-    productos = part.select(
+
+
+def _productos(src: _Sources) -> DataFrame:
+    return src["part"].select(
         F.col("p_partkey").alias("id_producto"),
         F.when(F.col("p_type") == DEPOSIT_PART_TYPE, DEPOSIT_CATEGORY)
          .otherwise(F.col("p_type")).alias("categoria"),
     )
-    cliente_productos = (
+
+
+def _cliente_productos(src: _Sources) -> DataFrame:
+    lineitem, orders = src["lineitem"], src["orders"]
+    return (
         lineitem.join(orders.select("o_orderkey", "o_custkey"),
                       lineitem.l_orderkey == orders.o_orderkey)
         .select(
@@ -127,18 +176,32 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.when(F.col("l_returnflag") == "N", "Activo").otherwise("Cancelado").alias("estado"),
         )
     )
-    return {
-        "Clientes": clientes,
-        "Cuentas": cuentas,
-        "Prestamos": prestamos,
-        "ScoreCliente": score,
-        "Sucursales": sucursales,
-        "Provincias": provincias,
-        "Productos": productos,
-        "ClienteProductos": cliente_productos,
-    }
+
+
+_BUILDERS = {
+    "Clientes": _clientes,
+    "Cuentas": _cuentas,
+    "Prestamos": _prestamos,
+    "ScoreCliente": _score,
+    "Sucursales": _sucursales,
+    "Provincias": _provincias,
+    "Productos": _productos,
+    "ClienteProductos": _cliente_productos,
+}
+
+
+def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The eight logical tables as DataFrames (planned eagerly)."""
+    src = _Sources(spark, sf_dir)
+    return {name: build(src) for name, build in _BUILDERS.items()}
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> BankTables:
-    """Logical tables over ``/root/testdata/sf*/`` style directories."""
-    return BankTables.from_mapping(raw_frames(spark, sf_dir))
+    """Logical tables over ``/root/testdata/sf*/`` style directories.
+
+    The mapping emits the declared types itself, so no conforming
+    projection is stacked on top; each table is planned on first use.
+    """
+    src = _Sources(spark, sf_dir)
+    return BankTables.from_mapping(
+        {name: (lambda b=build: b(src)) for name, build in _BUILDERS.items()}, conformed=True)
