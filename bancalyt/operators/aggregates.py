@@ -4,20 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def share_of_total(df: DataFrame, value: str, out: str = "pct", decimals: int = 1,
-                   scale: int = 100) -> DataFrame:
+                   scale: int = 100, bounded: bool = True) -> DataFrame:
     """``round(value * scale / sum(value over all rows), decimals)``.
 
-    The grand total is a scalar subquery: Spark computes it as its own
-    two-phase aggregate and substitutes the single value, so the rows are
-    never gathered into one partition (which an empty ``OVER ()`` window
-    would do).  A zero total gives null instead of a division error.
+    ``bounded=True`` is for a rollup whose row count has a fixed bound (one
+    row per label of a CASE ladder, per risk level, ...): the grand total is
+    a window over those few rows, so the input is computed once.
+    ``bounded=False`` is for inputs of any size: the total is a scalar
+    subquery (its own two-phase aggregate), so rows are never gathered into
+    one partition, at the price of evaluating ``df`` a second time.
+
+    A zero total gives null instead of a division error.
     """
-    total = df.select(F.sum(value)).scalar()
+    if bounded:
+        total = F.sum(value).over(Window.partitionBy())
+    else:
+        total = df.select(F.sum(value)).scalar()
     return df.withColumn(out, F.round(F.try_divide(F.col(value) * F.lit(scale), total), decimals))
 
 

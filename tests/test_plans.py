@@ -39,10 +39,26 @@ def test_reports_use_top_k(t):
         assert "TakeOrderedAndProject" in plan(fn(t)), fn.__name__
 
 
-def test_share_of_total_has_no_global_window(t):
-    for fn in (q.e2_risk_share, q.h3_risk_share, q.j1_offer_share):
+def test_totals_do_not_evaluate_the_facts_twice(t):
+    # grand totals are taken over the few rollup rows, so each source table
+    # is scanned once (a scalar subquery would re-run scan, join and rollup)
+    # (j5 is left out of the scan count: Clientes and ScoreCliente are two
+    # logical tables that both map onto the customer file in the test data)
+    for fn in (q.e2_risk_share, q.h3_risk_share, q.j1_offer_share, q.j4_kpi_balance):
         p = plan(fn(t))
-        assert "Window" not in p, fn.__name__
+        scans = p.count("FileScan parquet")
+        tables = {line.split("[file:")[1].split("]")[0] for line in p.splitlines()
+                  if "FileScan parquet" in line}
+        assert scans == len(tables), fn.__name__
+        assert "Subquery" not in p, fn.__name__
+    assert "Subquery" not in plan(q.j5_kpi_score(t))
+
+
+def test_unbounded_share_uses_a_two_phase_total(spark):
+    from bancalyt.operators import share_of_total
+    df = spark.range(100).selectExpr("id % 7 AS g", "id AS v")
+    p = plan(share_of_total(df, "v", bounded=False))
+    assert "Window" not in p and "Subquery" in p
 
 
 def test_windows_only_over_the_k_row_head(t):
