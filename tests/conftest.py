@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 from decimal import Decimal
 
 import pytest
@@ -19,7 +20,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8, shuffle_partitions=8, app="bancalyt-tests")
+    # catalog tables of the tests go to a scratch warehouse, not the repo
+    warehouse = tempfile.mkdtemp(prefix="bancalyt-wh-")
+    session = local_session(cores=8, shuffle_partitions=8, app="bancalyt-tests",
+                            extra={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 

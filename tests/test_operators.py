@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bancalyt.operators import (
+    above_group_mean,
     exclude,
     neighbor_diff,
     pivot_counts,
@@ -95,3 +96,11 @@ def test_pivot_counts_fixed_columns(spark):
     out = pivot_counts(df, ["r"], "c", "v", ["A", "B", "C"]).orderBy("r")
     assert out.columns == ["r", "A", "B", "C"]
     assert collect(out) == [("x", 2, 1, 0), ("y", 0, 4, 0)]
+
+
+def test_above_group_mean(spark):
+    pop = spark.createDataFrame([("a", 1), ("a", 3), ("b", 10), (None, 5)], "g string, v long")
+    rows = spark.createDataFrame([("a", 2.5), ("a", 1.0), ("b", 11.0), (None, 99.0)],
+                                 "g string, v double")
+    out = above_group_mean(rows, pop, ["g"], "v", out="m")
+    assert sorted(collect(out)) == [("a", 2.5, 2.0), ("b", 11.0, 10.0)]

@@ -95,3 +95,24 @@ def test_lazy_tables_only_plan_what_is_used(spark):
     t.clientes
     t.clientes
     assert calls == ["Clientes"]
+
+
+def test_bucketed_catalog_joins_without_fact_shuffles(spark, tmp_path):
+    from bancalyt.plans import queries as q
+    from bancalyt.sources import load_catalog, save_bucketed
+
+    t = from_testdata(spark, SF_SMALL)
+    save_bucketed(t, "bank_bucketed", buckets=4, path=str(tmp_path / "wh"))
+    b = load_catalog(spark, "bank_bucketed")
+    assert sorted(collect(q.h4_segment_size(b))) == sorted(collect(q.h4_segment_size(t)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = q.h4_segment_size(b)
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in p
+        # only the final per-segment rollup shuffles; customers and accounts
+        # meet bucket to bucket
+        assert "hashpartitioning(id_cliente" not in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
