@@ -28,8 +28,13 @@ def exclude(df: DataFrame, excl: DataFrame, on: str, null_aware: bool = False) -
     The null-aware form is written as a plain hash anti join plus one scalar
     aggregate over the set, instead of Spark's own ``NOT IN`` plan, which
     needs the whole set broadcast (or falls back to a nested-loop join).
+    Anti joins only test existence, so a hot key in ``excl`` costs one
+    buffered row per key in the sort-merge join.
     """
-    keys = excl.select(on).distinct()
+    # No distinct() on the set: duplicates do not change an anti join, and
+    # an aggregate between the join and its shuffle stage would keep
+    # adaptive execution from splitting a hot key's partition on the left.
+    keys = excl.select(on)
     if not null_aware:
         return df.join(keys, on, "left_anti")
     # 0: empty set, 1: non-empty without nulls, 2: contains a null
