@@ -44,7 +44,10 @@ def exclude(df: DataFrame, excl: DataFrame, on: str, null_aware: bool = False) -
          .otherwise(F.lit(0))
     ).scalar()
     kept = df.join(keys.where(F.col(on).isNotNull()), on, "left_anti")
-    return kept.where((state == 0) | ((state == 1) & F.col(on).isNotNull()))
+    # one reference to the scalar: [empty -> keep, no null -> keep non-null
+    # keys, has null -> drop][state]
+    verdict = F.element_at(F.array(F.lit(True), F.col(on).isNotNull(), F.lit(False)), state + 1)
+    return kept.where(verdict)
 
 
 def group_mean(population: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:

@@ -18,6 +18,24 @@ from bancalyt.sources.schema import PRIMARY_KEYS, SCHEMAS
 from bancalyt.sources.tables import BankTables
 
 
+def jdbc_url(host: str, port: int, database: str, vendor: str = "mysql", use_ssl: bool = False,
+             server_timezone: str = "UTC", allow_public_key_retrieval: bool = True) -> str:
+    """URL of a MySQL/MariaDB-style database with the connection flags the
+    catalogue's deployments set (SSL, server time zone, public-key
+    retrieval)."""
+    flags = (f"useSSL={str(use_ssl).lower()}&serverTimezone={server_timezone}"
+             f"&allowPublicKeyRetrieval={str(allow_public_key_retrieval).lower()}")
+    return f"jdbc:{vendor}://{host}:{port}/{database}?{flags}"
+
+
+def jdbc_properties(user: str, password: str, driver: str | None = None) -> dict[str, str]:
+    """Reader properties; credentials are always passed in by the caller."""
+    props = {"user": user, "password": password}
+    if driver:
+        props["driver"] = driver
+    return props
+
+
 @dataclass(frozen=True)
 class KeyRange:
     """Inclusive bounds of a table's primary key and the split count."""

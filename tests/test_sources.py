@@ -70,6 +70,14 @@ def test_jdbc_options_partition_on_primary_key():
     assert "partitionColumn" not in jdbc_read_options("Provincias", KeyRange(1, 20, 1))
 
 
+def test_jdbc_url_and_properties():
+    from bancalyt.sources import jdbc_properties, jdbc_url
+    url = jdbc_url("db", 3306, "banco")
+    assert url == ("jdbc:mysql://db:3306/banco?useSSL=false&serverTimezone=UTC"
+                   "&allowPublicKeyRetrieval=true")
+    assert jdbc_properties("u", "p", "org.mariadb.jdbc.Driver")["driver"] == "org.mariadb.jdbc.Driver"
+
+
 def test_registry(spark):
     with pytest.raises(ValueError):
         run(spark, "zz", SF_SMALL)
