@@ -15,7 +15,7 @@ pruning and filter pushdown of a query reach the physical files.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,18 +63,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _risk(score: Column) -> Column:
-    out = None
-    for bound, label in RISK_LADDER:
-        out = F.when(score >= bound, label) if out is None else out.when(score >= bound, label)
-    return out.otherwise(RISK_DEFAULT)
+def _lit(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _event_status(event_type: Column) -> Column:
-    out = None
-    for ev, status in EVENT_STATUS.items():
-        out = F.when(event_type == ev, status) if out is None else out.when(event_type == ev, status)
-    return out
+def _risk_sql(score: str) -> str:
+    whens = " ".join(f"WHEN {score} >= {bound} THEN {_lit(label)}" for bound, label in RISK_LADDER)
+    return f"CASE {whens} ELSE {_lit(RISK_DEFAULT)} END"
+
+
+def _event_status_sql(event_type: str) -> str:
+    whens = " ".join(f"WHEN {event_type} = {_lit(ev)} THEN {_lit(st)}"
+                     for ev, st in EVENT_STATUS.items())
+    return f"CASE {whens} END"
 
 
 class _Sources:
@@ -89,6 +90,8 @@ class _Sources:
         return self._dfs[name]
 
 
+# Each table is one projection written as SQL expressions: a single call
+# into the JVM per table instead of one per column expression.
 def _clientes(src: _Sources) -> DataFrame:
     customer = src["customer"]
     # nation is the fixed 25-row TPC-H dimension: a broadcast of a proven
@@ -97,70 +100,70 @@ def _clientes(src: _Sources) -> DataFrame:
     nation = src["nation"].select("n_nationkey", "n_regionkey").dropDuplicates(["n_nationkey"])
     return (
         customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
-        .select(
-            F.col("c_custkey").alias("id_cliente"),
-            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("nombre"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("apellidos"),
-            F.col("c_mktsegment").alias("segmento"),
-            F.col("c_nationkey").cast("long").alias("id_sucursal"),
-            F.col("n_regionkey").cast("long").alias("id_provincia"),
-            (F.col("c_acctbal") >= 0).alias("activo"),
-            F.date_add(F.lit(BIRTH_EPOCH).cast("date"),
-                       ((F.col("c_custkey") * 37) % 18000).cast("int")).alias("fecha_nacimiento"),
+        .selectExpr(
+            "c_custkey AS id_cliente",
+            "split_part(c_name, '#', 1) AS nombre",
+            "split_part(c_name, '#', 2) AS apellidos",
+            "c_mktsegment AS segmento",
+            "CAST(c_nationkey AS BIGINT) AS id_sucursal",
+            "CAST(n_regionkey AS BIGINT) AS id_provincia",
+            "c_acctbal >= 0 AS activo",
+            f"date_add(DATE {_lit(BIRTH_EPOCH)}, CAST((c_custkey * 37) % 18000 AS INT))"
+            " AS fecha_nacimiento",
         )
     )
 
 
 def _cuentas(src: _Sources) -> DataFrame:
-    return src["orders"].select(
-        F.col("o_orderkey").alias("id_cuenta"),
-        F.col("o_custkey").alias("id_cliente"),
-        F.col("o_orderpriority").alias("tipo_cuenta"),
-        F.round(F.col("o_totalprice") / 5, 2).cast("decimal(14,2)").alias("saldo"),
-        (F.col("o_orderstatus") != "F").alias("activa"),
+    return src["orders"].selectExpr(
+        "o_orderkey AS id_cuenta",
+        "o_custkey AS id_cliente",
+        "o_orderpriority AS tipo_cuenta",
+        "CAST(round(o_totalprice / 5, 2) AS DECIMAL(14,2)) AS saldo",
+        "o_orderstatus != 'F' AS activa",
     )
 
 
 def _prestamos(src: _Sources) -> DataFrame:
-    return src["events"].select(
-        F.col("event_id").alias("id_prestamo"),
-        F.col("user_id").alias("id_cliente"),
-        _event_status(F.col("event_type")).alias("estado"),
+    return src["events"].selectExpr(
+        "event_id AS id_prestamo",
+        "user_id AS id_cliente",
+        f"{_event_status_sql('event_type')} AS estado",
     )
 
 
 def _score(src: _Sources) -> DataFrame:
-    score_value = F.floor((F.col("c_acctbal") + 1000) / 11).cast("int")
-    return src["customer"].select(
-        F.col("c_custkey").alias("id_cliente"),
-        score_value.alias("score_credito"),
-        _risk(score_value).alias("riesgo"),
-        (F.col("c_custkey") % 2 == 0).alias("propension_ahorro"),
-        (F.col("c_custkey") % 3 == 0).alias("propension_inversion"),
-        (F.col("c_nationkey") % 2 == 0).alias("propension_seguro"),
+    score = "CAST(floor((c_acctbal + 1000) / 11) AS INT)"
+    return src["customer"].selectExpr(
+        "c_custkey AS id_cliente",
+        f"{score} AS score_credito",
+        f"{_risk_sql(score)} AS riesgo",
+        "c_custkey % 2 = 0 AS propension_ahorro",
+        "c_custkey % 3 = 0 AS propension_inversion",
+        "c_nationkey % 2 = 0 AS propension_seguro",
     )
 
 
 def _sucursales(src: _Sources) -> DataFrame:
-    return src["nation"].select(
-        F.col("n_nationkey").cast("long").alias("id_sucursal"),
-        F.col("n_name").alias("nombre"),
-        F.col("n_regionkey").cast("long").alias("id_provincia"),
+    return src["nation"].selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS id_sucursal",
+        "n_name AS nombre",
+        "CAST(n_regionkey AS BIGINT) AS id_provincia",
     )
 
 
 def _provincias(src: _Sources) -> DataFrame:
-    return src["region"].select(
-        F.col("r_regionkey").cast("long").alias("id_provincia"),
-        F.col("r_name").alias("nombre"),
+    return src["region"].selectExpr(
+        "CAST(r_regionkey AS BIGINT) AS id_provincia",
+        "r_name AS nombre",
     )
 
 
 def _productos(src: _Sources) -> DataFrame:
-    return src["part"].select(
-        F.col("p_partkey").alias("id_producto"),
-        F.when(F.col("p_type") == DEPOSIT_PART_TYPE, DEPOSIT_CATEGORY)
-         .otherwise(F.col("p_type")).alias("categoria"),
+    return src["part"].selectExpr(
+        "p_partkey AS id_producto",
+        f"CASE WHEN p_type = {_lit(DEPOSIT_PART_TYPE)} THEN {_lit(DEPOSIT_CATEGORY)}"
+        " ELSE p_type END AS categoria",
     )
 
 
@@ -169,11 +172,11 @@ def _cliente_productos(src: _Sources) -> DataFrame:
     return (
         lineitem.join(orders.select("o_orderkey", "o_custkey"),
                       lineitem.l_orderkey == orders.o_orderkey)
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_contrato"),
-            F.col("o_custkey").alias("id_cliente"),
-            F.col("l_partkey").alias("id_producto"),
-            F.when(F.col("l_returnflag") == "N", "Activo").otherwise("Cancelado").alias("estado"),
+        .selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id_contrato",
+            "o_custkey AS id_cliente",
+            "l_partkey AS id_producto",
+            "CASE WHEN l_returnflag = 'N' THEN 'Activo' ELSE 'Cancelado' END AS estado",
         )
     )
 
