@@ -42,6 +42,8 @@ _DEFS = [
     QueryDef("a1_card_offer", "Card offer by balance", "classification", (CL, CU), q.a1_card_offer),
     QueryDef("a2_multi_product", "Card, fund and insurance recommendation", "classification",
              (CL, CU, SC), q.a2_multi_product),
+    QueryDef("a2_multi_product_days365", "A2 with age as floor(days / 365)", "classification",
+             (CL, CU, SC), lambda t: q.a2_multi_product(t, age_mode="days365")),
     QueryDef("b1_rank_compare", "RANK vs DENSE_RANK vs ROW_NUMBER per branch", "windows",
              (CL, CU), q.b1_rank_compare),
     QueryDef("b2_top3_province", "Top-3 balances per province", "windows", (CL, CU, PV),
@@ -75,6 +77,8 @@ _DEFS = [
              (CL, CU, SC, CP, PD), q.g1_deposit_not_in),
     QueryDef("g2_score_360", "360 scoring: propensities and active products", "recommendation",
              (CL, CU, SC, CP), q.g2_score_360),
+    QueryDef("g2_score_360_days365", "G2 with age as floor(days / 365)", "recommendation",
+             (CL, CU, SC, CP), lambda t: q.g2_score_360(t, age_mode="days365")),
     QueryDef("h1_offer_counts", "Accounts per offer tier", "charts", (CL, CU), q.h1_offer_counts),
     QueryDef("h2_branch_balance", "Top branches by balance", "charts", (SU, CL, CU),
              q.h2_branch_balance),
