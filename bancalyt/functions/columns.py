@@ -71,7 +71,7 @@ def age_years(dob: ColumnOrName, as_of: _dt.date | str | Column | None = None,
     """Age in whole years at ``as_of``.
 
     ``calendar``: completed calendar years (SQL ``TIMESTAMPDIFF(YEAR, ...)``).
-    ``days365``: ``floor(days / 365)``, the approximation of the reference's
+    ``days365``: ``floor(days / 365)``, the approximation of the catalogue's
     DataFrame code; it drifts by a year around birthdays.
     """
     ref = as_of_column(as_of)

@@ -1,7 +1,7 @@
 """Result sinks at the edge of the engine.
 
 Queries return DataFrames; these helpers are for callers that need files
-or JSON.  Nulls stay nulls (the reference turned them into "" or 0, which
+or JSON.  Nulls stay nulls (the catalogue turned them into "" or 0, which
 mixes types in one column); zero-filling is done inside the queries where
 zero is the meaning.
 """
