@@ -4,8 +4,6 @@ Each test types the few rows it needs (FIXTURES.md section 4)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from bancalyt.functions import age_years
 from bancalyt.plans import queries as q
 from conftest import D, collect, d, make_tables
@@ -273,4 +271,3 @@ def test_empty_tables_give_empty_or_zero_results(spark):
     assert collect(q.j3_kpi_customers(t)) == [(0,)]
     assert q.e2_risk_share(t).count() == 0
     assert collect(q.j6_kpi_overdue(t)) == [(0, 0)]
-    assert F is not None
