@@ -124,3 +124,18 @@ def test_bucketed_catalog_joins_without_fact_shuffles(spark, tmp_path):
         assert "hashpartitioning(id_cliente" not in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_command_line_runs_and_writes(spark, tmp_path, capsys):
+    from bancalyt.__main__ import main
+
+    assert main(["list"]) == 0
+    assert "b2_top3_province" in capsys.readouterr().out
+    out = str(tmp_path / "b2")
+    assert main(["run", "b2_top3_province", "--testdata", SF_SMALL, "--out", out,
+                 "--format", "json"]) == 0
+    back = spark.read.json(out)
+    assert back.count() == run(spark, "b2_top3_province", SF_SMALL).count()
+    blk = str(tmp_path / "charts")
+    assert main(["run-block", "charts", "--testdata", SF_SMALL, "--out", blk]) == 0
+    assert spark.read.parquet(f"{blk}/h8_loan_status").count() > 0
