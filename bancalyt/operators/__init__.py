@@ -1,5 +1,12 @@
 from bancalyt.operators.aggregates import indicator_rates, pivot_counts, share_of_total
-from bancalyt.operators.joins import above_group_mean, exclude, group_mean, preaggregate_join
+from bancalyt.operators.joins import (
+    above_group_mean,
+    exclude,
+    group_mean,
+    hot_keys,
+    preaggregate_join,
+    salted_join,
+)
 from bancalyt.operators.ordering import (
     neighbor_diff,
     rank_within,
@@ -9,7 +16,7 @@ from bancalyt.operators.ordering import (
 )
 
 __all__ = [
-    "above_group_mean", "exclude", "group_mean", "indicator_rates", "neighbor_diff",
-    "pivot_counts", "preaggregate_join", "rank_within", "share_of_total", "sort_spec",
-    "top_k", "top_n_per_group",
+    "above_group_mean", "exclude", "group_mean", "hot_keys", "indicator_rates",
+    "neighbor_diff", "pivot_counts", "preaggregate_join", "rank_within", "salted_join",
+    "share_of_total", "sort_spec", "top_k", "top_n_per_group",
 ]

@@ -80,3 +80,49 @@ def preaggregate_join(base: DataFrame, fact: DataFrame, on: str | Sequence[str],
     agg = fact.groupBy(*keys).agg(*aggs)
     joined = base.join(agg, keys, how)
     return joined.na.fill(dict(fill)) if fill else joined
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_task: int, max_keys: int = 1000,
+             max_salts: int = 4096) -> DataFrame:
+    """Keys holding more than ``rows_per_task`` rows of ``df``, with the
+    number of salts each needs (``ceil(rows / rows_per_task)``, at most
+    ``max_salts``): ``(key, _salts)``.
+
+    At most ``max_keys`` keys (the heaviest) are returned, so the result has
+    a proven size bound and can be broadcast.  One pass over the key column
+    with map-side partial counts.  Keys beyond ``max_keys`` take the
+    ordinary path in :func:`salted_join` (still exact).
+    """
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+              .where(F.col("_rows") > rows_per_task)
+              .orderBy(F.desc("_rows"), F.asc(key))
+              .limit(max_keys)
+              .select(key, F.least(F.ceil(F.col("_rows") / rows_per_task),
+                                   F.lit(max_salts)).cast("int").alias("_salts")))
+
+
+def salted_join(fact: DataFrame, per_key: DataFrame, key: str, hot: DataFrame, salt_from: str,
+                how: str = "inner") -> DataFrame:
+    """``fact JOIN per_key ON key`` with the rows of hot keys spread over
+    several partitions.
+
+    ``per_key`` has at most one row per key (customers, a key set for a
+    semi/anti join); ``hot`` is ``(key, _salts)`` from :func:`hot_keys`.
+    A row of ``fact`` with a hot key gets salt ``hash(salt_from) mod
+    _salts`` (deterministic, so a recomputed task assigns the same salt) and
+    the matching ``per_key`` row is replicated once per salt.  Every other
+    row joins with salt 0 like an ordinary hash join.  ``hot`` is broadcast:
+    its size is bounded by construction.  Works for inner, left, left_semi
+    and left_anti joins.
+    """
+    marks = F.broadcast(hot.select(key, "_salts"))
+    salted_fact = (fact.join(marks, key, "left")
+                   .withColumn("_salt", F.coalesce(
+                       F.pmod(F.xxhash64(salt_from), F.col("_salts").cast("long")), F.lit(0)))
+                   .drop("_salts"))
+    replicated = (per_key.join(marks, key, "left")
+                  .withColumn("_salt", F.explode(F.sequence(
+                      F.lit(0).cast("long"),
+                      F.coalesce(F.col("_salts"), F.lit(1)).cast("long") - 1)))
+                  .drop("_salts"))
+    return salted_fact.join(replicated, [key, "_salt"], how).drop("_salt")

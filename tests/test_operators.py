@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from bancalyt.operators import (
     above_group_mean,
     exclude,
+    hot_keys,
     neighbor_diff,
     pivot_counts,
     preaggregate_join,
     rank_within,
+    salted_join,
     top_k,
     top_n_per_group,
 )
@@ -102,3 +104,23 @@ def test_above_group_mean(spark):
                                  "g string, v double")
     out = above_group_mean(rows, pop, ["g"], "v", out="m")
     assert sorted(collect(out)) == [("a", 2.5, 2.0), ("b", 11.0, 10.0)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("max_keys", [1, 10])
+def test_salted_join_equals_plain_join(spark, how, max_keys):
+    rnd = random.Random(3)
+    # key 1 holds a third of the rows, key 2 a sixth; some null keys
+    keys = [1] * 100 + [2] * 50 + [rnd.randint(3, 40) for _ in range(140)] + [None] * 10
+    fact = spark.createDataFrame([(i, k, i * 7 % 13) for i, k in enumerate(keys)],
+                                 "id long, k long, v long")
+    per_key = spark.createDataFrame([(k, f"c{k}") for k in range(1, 41, 2)] + [(None, "n")],
+                                    "k long, name string")
+    hot = hot_keys(fact, "k", rows_per_task=20, max_keys=max_keys)
+    assert hot.count() == max_keys if max_keys == 1 else hot.count() == 2
+    assert collect(hot.orderBy("k")) [0] == (1, 5)
+    got = salted_join(fact, per_key, "k", hot, salt_from="id", how=how)
+    want = fact.join(per_key, "k", how)
+    assert sorted(collect(got), key=repr) == sorted(collect(want), key=repr)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in p
