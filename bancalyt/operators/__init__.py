@@ -9,6 +9,7 @@ from bancalyt.operators.joins import (
 )
 from bancalyt.operators.ordering import (
     neighbor_diff,
+    rank_all,
     rank_within,
     sort_spec,
     top_k,
@@ -17,6 +18,6 @@ from bancalyt.operators.ordering import (
 
 __all__ = [
     "above_group_mean", "exclude", "group_mean", "hot_keys", "indicator_rates",
-    "neighbor_diff", "pivot_counts", "preaggregate_join", "rank_within", "salted_join",
+    "neighbor_diff", "pivot_counts", "preaggregate_join", "rank_all", "rank_within", "salted_join",
     "share_of_total", "sort_spec", "top_k", "top_n_per_group",
 ]

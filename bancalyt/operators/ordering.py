@@ -9,6 +9,8 @@ runs an unbounded window:
 
 * ``top_k`` is ``orderBy().limit()``, planned as TakeOrderedAndProject: every
   partition keeps its own k best rows and only ``k x partitions`` rows meet.
+* ``rank_all`` ranks every row (and gives its lag / lead) over data-defined
+  value buckets and id buckets (see its docstring).
 * ``rank_within`` and ``neighbor_diff`` serve ordered reports of the first k
   rows of ``(group, order, tie-break)``.  Every row that precedes a reported
   row inside its group is itself among those k rows, so ranks, dense ranks,
@@ -115,3 +117,114 @@ def neighbor_diff(df: DataFrame, by: Sequence[str], order: Sequence[Column], val
         diff = F.round(diff, decimals)
     out = head.withColumn(neighbor_out, neighbour).withColumn(diff_out, diff)
     return top_k(out, full, k, tie_break)
+
+
+def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
+             value_width: float, id_width: int, kinds: Mapping[str, str] | None = None,
+             lag_out: str | None = None, lead_out: str | None = None,
+             default=None) -> DataFrame:
+    """Rank, dense rank, row number, previous and next value of every row
+    inside its ``by`` group, by ``value`` descending (nulls last) then
+    ``row_id`` ascending, with no step that holds a whole group in one task.
+
+    Every split is defined by the data, so all branches of the plan agree
+    on it however the rows are partitioned:
+
+    * distinct values of a group are cut into value buckets of
+      ``value_width`` (a bucket of money in cents holds a bounded number of
+      distinct values); prefix counts inside a bucket are a window over the
+      bucket, and across buckets a window over one row per bucket;
+    * inside a run of tied values, rows are cut into ``id_width`` buckets of
+      ``row_id`` (an integer key), so a tie run shared by a third of the
+      table is still numbered by many tasks.
+
+    ``rank``/``dense_rank`` use the value only; ``row_number``, lag and lead
+    also ``row_id``.  ``default`` is the lag / lead of a row without a
+    neighbour.  ``value`` must be numeric and ``row_id`` an integer key.
+    """
+    kinds = dict(kinds or {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"})
+    keys = [*by, value]
+
+    def on(left, right, cols):
+        return [left[c].eqNullSafe(right[c]) for c in cols]
+
+    # rows per (group, value, id bucket); the distinct values are rolled up
+    # from it, so the input is aggregated once for both levels
+    idb = F.floor(F.col(row_id) / F.lit(id_width))
+    rows = df.withColumn("_idb", idb)
+    tie_buckets = rows.groupBy(*keys, "_idb").agg(F.count(F.lit(1)).alias("_tc"),
+                                                  F.min(row_id).alias("_tmin"),
+                                                  F.max(row_id).alias("_tmax"))
+    # one row per distinct (group, value): tie-run size and its first/last id
+    vb = F.floor(F.col(value) / F.lit(value_width))
+    distinct = (tie_buckets.groupBy(*keys).agg(F.sum("_tc").alias("_c"),
+                                               F.min("_tmin").alias("_id_first"),
+                                               F.max("_tmax").alias("_id_last"))
+                .withColumn("_vb", vb))
+    w_bucket = Window.partitionBy(*by, "_vb").orderBy(F.col(value).desc())
+    inside = distinct.withColumns({
+        "_c_before": F.coalesce(F.sum("_c").over(
+            w_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_ld": F.row_number().over(w_bucket),
+        "_prev_in": F.lag(value).over(w_bucket),
+        "_next_in": F.lead(value).over(w_bucket),
+    })
+    buckets = distinct.groupBy(*by, "_vb").agg(
+        F.sum("_c").alias("_bn"), F.count(F.lit(1)).alias("_bd"),
+        F.max(value).alias("_btop"),
+        F.min(value).alias("_bbottom"))
+    w_seq = Window.partitionBy(*by).orderBy(F.col("_vb").desc())
+    before = w_seq.rowsBetween(Window.unboundedPreceding, -1)
+    bucket_off = buckets.select(
+        *by, "_vb", "_bd",
+        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_dist_before"),
+        F.lag("_bbottom").over(w_seq).alias("_prev_bucket_last"),
+        F.lag(F.lit(1)).over(w_seq).isNotNull().alias("_has_prev"),
+        F.lead("_btop").over(w_seq).alias("_next_bucket_first"),
+        F.lead(F.lit(1)).over(w_seq).isNotNull().alias("_has_next"))
+    ranked_values = inside.join(bucket_off, on(inside, bucket_off, [*by, "_vb"])).select(
+        *[inside[c] for c in keys], "_c", "_id_first", "_id_last",
+        (F.col("_rows_before") + F.col("_c_before") + 1).alias("_rank"),
+        (F.col("_dist_before") + F.col("_ld")).alias("_dense"),
+        F.when(F.col("_ld") > 1, F.col("_prev_in"))
+         .when(F.col("_has_prev"), F.col("_prev_bucket_last")).alias("_prev_v"),
+        (F.col("_ld") > 1).alias("_ld_gt1"), F.col("_has_prev"),
+        F.when(F.col("_ld") < F.col("_bd"), F.col("_next_in"))
+         .when(F.col("_has_next"), F.col("_next_bucket_first")).alias("_next_v"),
+        ((F.col("_ld") < F.col("_bd")) | F.col("_has_next")).alias("_has_next_v"))
+
+    # position inside a tie run: prefix counts over the id buckets
+    w_tie = Window.partitionBy(*keys).orderBy("_idb")
+    tie_off = tie_buckets.select(*keys, "_idb", F.coalesce(F.sum("_tc").over(
+        w_tie.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tie_before"))
+    local = rows.withColumn("_trn", F.row_number().over(
+        Window.partitionBy(*keys, "_idb").orderBy(F.col(row_id).asc())))
+    with_tie = local.join(tie_off, on(local, tie_off, [*keys, "_idb"])).select(
+        *[local[c] for c in local.columns], "_tie_before")
+    full = with_tie.join(ranked_values, on(with_tie, ranked_values, keys)).select(
+        *[with_tie[c] for c in with_tie.columns],
+        *[ranked_values[c] for c in ranked_values.columns if c not in keys])
+
+    out = {}
+    for name, kind in kinds.items():
+        if kind == "rank":
+            out[name] = F.col("_rank")
+        elif kind == "dense_rank":
+            out[name] = F.col("_dense")
+        elif kind == "row_number":
+            out[name] = F.col("_rank") + F.col("_tie_before") + F.col("_trn") - 1
+        else:
+            raise ValueError(f"unknown rank kind {kind!r}")
+    first_of_run = F.col(row_id) == F.col("_id_first")
+    last_of_run = F.col(row_id) == F.col("_id_last")
+    if lag_out:
+        out[lag_out] = (F.when(~first_of_run, F.col(value))
+                        .when(F.col("_ld_gt1") | F.col("_has_prev"), F.col("_prev_v"))
+                        .otherwise(F.lit(default)))
+    if lead_out:
+        out[lead_out] = (F.when(~last_of_run, F.col(value))
+                         .when(F.col("_has_next_v"), F.col("_next_v"))
+                         .otherwise(F.lit(default)))
+    result = full.withColumns({k: (c.cast("long") if k in kinds else c) for k, c in out.items()})
+    return result.select(*df.columns, *out)

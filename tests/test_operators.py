@@ -14,6 +14,7 @@ from bancalyt.operators import (
     hot_keys,
     neighbor_diff,
     pivot_counts,
+    rank_all,
     preaggregate_join,
     rank_within,
     salted_join,
@@ -124,3 +125,23 @@ def test_salted_join_equals_plain_join(spark, how, max_keys):
     assert sorted(collect(got), key=repr) == sorted(collect(want), key=repr)
     p = got._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in p
+
+
+@pytest.mark.parametrize("value_width,id_width", [(1, 1), (7, 1000), (10, 3), (1000, 10**6)])
+def test_rank_all_equals_full_window(spark, value_width, id_width):
+    rnd = random.Random(value_width)
+    rows = [(i * 3 + rnd.randint(0, 2), rnd.choice([1, 1, 1, 1, 2, 3, None]),
+             rnd.choice([10, 20, 20, 20, 20, 20, 30, None, None, 40, 55, 7]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g long, v long")
+    got = rank_all(df, ["g"], "v", "id", value_width, id_width, lag_out="lag",
+                   lead_out="lead", default=-1)
+    w = Window.partitionBy("g").orderBy(F.desc("v"))
+    wn = Window.partitionBy("g").orderBy(F.desc("v"), "id")
+    want = df.select("*", F.rank().over(w).cast("long").alias("rnk"),
+                     F.dense_rank().over(w).cast("long").alias("dense_rnk"),
+                     F.row_number().over(wn).cast("long").alias("row_num"),
+                     F.lag("v", 1, -1).over(wn).alias("lag"),
+                     F.lead("v", 1, -1).over(wn).alias("lead"))
+    assert (sorted(collect(got.select(*want.columns)), key=repr)
+            == sorted(collect(want), key=repr))

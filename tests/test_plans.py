@@ -35,8 +35,9 @@ def test_exclusions_are_anti_joins(t):
 
 def test_reports_use_top_k(t):
     for fn in (q.a2_multi_product, q.c1_no_active_loan, q.e1_top_customers,
-               q.g2_score_360, q.b1_rank_compare, q.b3_lag_diff):
-        assert "TakeOrderedAndProject" in plan(fn(t)), fn.__name__
+               q.g2_score_360, lambda t: q.b1_rank_compare(t, k=30),
+               lambda t: q.b3_lag_diff(t, k=25)):
+        assert "TakeOrderedAndProject" in plan(fn(t))
 
 
 def test_whole_results_are_sorted_by_range_partitioning(t):
@@ -70,10 +71,21 @@ def test_unbounded_share_uses_a_two_phase_total(spark):
 def test_windows_only_over_the_k_row_head(t):
     # B1/B3: the window sits above the top-k, never over the whole join
     for fn in (q.b1_rank_compare, q.b3_lag_diff, q.b3_lead_diff):
-        p = plan(fn(t))
+        p = plan(fn(t, k=25))
         assert p.index("Window") < p.rindex("TakeOrderedAndProject"), fn.__name__
 
 
+def test_whole_branch_ranking_has_no_branch_wide_window(t):
+    # every account ranked: windows run over value buckets, tie runs or one
+    # row per bucket, never over all rows of a branch ordered by balance
+    import re
+    for fn in (q.b1_rank_compare, q.b3_lag_diff, q.b3_lead_diff):
+        p = plan(fn(t))
+        assert "Window" in p
+        assert not re.search(r"windowspecdefinition\(id_sucursal#\d+L?, saldo#\d+ DESC", p), \
+            fn.__name__
+
+
 def test_scan_reads_only_needed_columns(t):
     p = plan(q.h1_offer_counts(t))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in p
