@@ -141,6 +141,11 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     ``rank``/``dense_rank`` use the value only; ``row_number``, lag and lead
     also ``row_id``.  ``default`` is the lag / lead of a row without a
     neighbour.  ``value`` must be numeric and ``row_id`` an integer key.
+
+    Sizing: a value bucket holds at most ``value_width / resolution``
+    distinct values (cents for money), an id bucket at most ``id_width``
+    rows, and the one window per group runs over ``value range /
+    value_width`` bucket rows; pick the widths so all three stay bounded.
     """
     kinds = dict(kinds or {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"})
     keys = [*by, value]
