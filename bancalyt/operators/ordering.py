@@ -157,14 +157,12 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     # from it, so the input is aggregated once for both levels
     idb = F.floor(F.col(row_id) / F.lit(id_width))
     rows = df.withColumn("_idb", idb)
-    tie_buckets = rows.groupBy(*keys, "_idb").agg(F.count(F.lit(1)).alias("_tc"),
-                                                  F.min(row_id).alias("_tmin"),
-                                                  F.max(row_id).alias("_tmax"))
-    # one row per distinct (group, value): tie-run size and its first/last id
+    # (only counts: every aggregate path then reads the same partial
+    # aggregate, which lets Spark share its shuffle)
+    tie_buckets = rows.groupBy(*keys, "_idb").agg(F.count(F.lit(1)).alias("_tc"))
+    # one row per distinct (group, value) with the size of its tie run
     vb = F.floor(F.col(value) / F.lit(value_width))
-    distinct = (tie_buckets.groupBy(*keys).agg(F.sum("_tc").alias("_c"),
-                                               F.min("_tmin").alias("_id_first"),
-                                               F.max("_tmax").alias("_id_last"))
+    distinct = (tie_buckets.groupBy(*keys).agg(F.sum("_tc").alias("_c"))
                 .withColumn("_vb", vb))
     w_bucket = Window.partitionBy(*by, "_vb").orderBy(F.col(value).desc())
     inside = distinct.withColumns({
@@ -189,7 +187,7 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
         F.lead("_btop").over(w_seq).alias("_next_bucket_first"),
         F.lead(F.lit(1)).over(w_seq).isNotNull().alias("_has_next"))
     ranked_values = inside.join(bucket_off, on(inside, bucket_off, [*by, "_vb"])).select(
-        *[inside[c] for c in keys], "_c", "_id_first", "_id_last",
+        *[inside[c] for c in keys], "_c",
         (F.col("_rows_before") + F.col("_c_before") + 1).alias("_rank"),
         (F.col("_dist_before") + F.col("_ld")).alias("_dense"),
         F.when(F.col("_ld") > 1, F.col("_prev_in"))
@@ -221,8 +219,9 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
             out[name] = F.col("_rank") + F.col("_tie_before") + F.col("_trn") - 1
         else:
             raise ValueError(f"unknown rank kind {kind!r}")
-    first_of_run = F.col(row_id) == F.col("_id_first")
-    last_of_run = F.col(row_id) == F.col("_id_last")
+    position_in_run = F.col("_tie_before") + F.col("_trn")
+    first_of_run = position_in_run == 1
+    last_of_run = position_in_run == F.col("_c")
     if lag_out:
         out[lag_out] = (F.when(~first_of_run, F.col(value))
                         .when(F.col("_ld_gt1") | F.col("_has_prev"), F.col("_prev_v"))
