@@ -140,7 +140,10 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
 
     ``rank``/``dense_rank`` use the value only; ``row_number``, lag and lead
     also ``row_id``.  ``default`` is the lag / lead of a row without a
-    neighbour.  ``value`` must be numeric and ``row_id`` an integer key.
+    neighbour.  ``value`` must be numeric, ``row_id`` an integer key and the
+    ``by`` columns numeric or strings (their nulls are matched through
+    non-null surrogate keys, so the row-level window and join share one
+    shuffle of the rows).
 
     Sizing: a value bucket holds at most ``value_width / resolution``
     distinct values (cents for money), an id bucket at most ``id_width``
@@ -201,13 +204,22 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     w_tie = Window.partitionBy(*keys).orderBy("_idb")
     tie_off = tie_buckets.select(*keys, "_idb", F.coalesce(F.sum("_tc").over(
         w_tie.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tie_before"))
-    local = rows.withColumn("_trn", F.row_number().over(
-        Window.partitionBy(*keys, "_idb").orderBy(F.col(row_id).asc())))
-    with_tie = local.join(tie_off, on(local, tie_off, [*keys, "_idb"])).select(
-        *[local[c] for c in local.columns], "_tie_before")
-    full = with_tie.join(ranked_values, on(with_tie, ranked_values, keys)).select(
-        *[with_tie[c] for c in with_tie.columns],
+    # everything a row needs, one row per (group, value, id bucket): the small
+    # tables meet first, so the rows are joined once
+    tie_level = tie_off.join(ranked_values, on(tie_off, ranked_values, keys)).select(
+        *[tie_off[c] for c in tie_off.columns],
         *[ranked_values[c] for c in ranked_values.columns if c not in keys])
+    # non-null surrogates of the keys: the row window and the row join are
+    # partitioned on the same plain columns, so the rows are shuffled once
+    sur = {}
+    for c in keys:
+        sur[f"_s_{c}"] = F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
+        sur[f"_z_{c}"] = F.col(c).isNull()
+    jk = [*sur, "_idb"]
+    local = rows.withColumns(sur).withColumn("_trn", F.row_number().over(
+        Window.partitionBy(*jk).orderBy(F.col(row_id).asc())))
+    tie_level = tie_level.withColumns(sur).drop(*keys)
+    full = local.join(tie_level, jk)
 
     out = {}
     for name, kind in kinds.items():
