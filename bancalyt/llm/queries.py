@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bancalyt.llm import mixing, simhash
+from bancalyt.llm import mixing, quality, simhash, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -21,6 +29,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op9_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op6_quality, op8_suffix_dedup, op9_mixing, op10_simhash)}
 
-ORACLE_SQL = {"op9_mixing": mixing.ORACLE.format(documents="documents")}
+ORACLE_SQL = {
+    "op6_quality": quality.oracle("documents"),
+    "op9_mixing": mixing.ORACLE.format(documents="documents"),
+}
