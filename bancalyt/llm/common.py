@@ -65,6 +65,28 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(kind).to_pylist()]
 
 
+class Table:
+    """A bounded memo of two generations: the recent one is looked up first
+    (``recent.get``); when it is full it becomes the older one, from which
+    entries that are met again come back."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.recent: dict = {}
+        self.past: dict = {}
+
+    def put(self, key, value) -> None:
+        if len(self.recent) >= self.size:
+            self.past, self.recent = self.recent, {}
+        self.recent[key] = value
+
+    def older(self, key):
+        value = self.past.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
 def blocks(batches, column: str, limit: int = BLOCK_BYTES):
     """Cut Arrow batches so that each piece holds about ``limit`` bytes of
     ``column`` (a longer single text is a piece of its own)."""

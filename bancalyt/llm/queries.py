@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bancalyt.llm import mixing, quality, simhash, suffixes
+from bancalyt.llm import bpe, mixing, quality, simhash, suffixes, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.report(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
@@ -29,7 +37,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op6_quality, op8_suffix_dedup, op9_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_token_store, op3_bpe, op6_quality, op8_suffix_dedup, op9_mixing, op10_simhash)}
 
 ORACLE_SQL = {
     "op6_quality": quality.oracle("documents"),
