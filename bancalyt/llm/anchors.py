@@ -12,11 +12,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bancalyt.llm.common import doc_key, materialize
 
+#: rows of a batch that is sent back to the JVM
+SLICE = 500
 #: occurrences of a key beyond which its windows are counted by their hashes
 #: over all tasks, instead of being brought together
 HOT = 20_000
@@ -34,7 +38,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Recurring:
-    #: (dk, cold, hot): per row key the ascending places of anchors whose key recurs
+    #: (dk, cold, hot, home, copies): per row key the ascending places of anchors
+    #: whose key recurs, the smallest cold key and how often it occurs
     places: DataFrame
     #: recurring anchors whose key is cold, and those whose key is hot
     cold: int
@@ -49,7 +54,9 @@ def recurring(anchors: DataFrame, hot: int = HOT) -> Recurring:
     found = anchors.select("key", "dk", "at").join(counts, "key")
     places = found.groupBy("dk").agg(
         F.sort_array(F.collect_set(F.when(F.col("n") <= hot, F.col("at")))).alias("cold"),
-        F.sort_array(F.collect_set(F.when(F.col("n") > hot, F.col("at")))).alias("hot"))
+        F.sort_array(F.collect_set(F.when(F.col("n") > hot, F.col("at")))).alias("hot"),
+        F.min(F.when(F.col("n") <= hot, F.struct("key", "n"))).alias("least"))
+    places = places.select("dk", "cold", "hot", F.col("least.key").alias("home"), F.col("least.n").alias("copies"))
     places = materialize(places, "recurring-places")
     total = counts.agg(F.coalesce(F.sum(F.when(F.col("n") <= hot, F.col("n"))), F.lit(0)).alias("c"),
                        F.coalesce(F.sum(F.when(F.col("n") > hot, F.col("n"))), F.lit(0)).alias("h")).first()
@@ -63,3 +70,45 @@ def counted_windows(windows: DataFrame) -> DataFrame:
     windows = materialize(windows, "hot-windows")
     twice = materialize(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2"), "hot-twice")
     return windows.join(twice, ["h1", "h2"], "left_semi").select("dk", "dk2", "begin")
+
+
+class Sieve:
+    """A fixed-size bitmap of row keys, by which texts are told apart before a
+    join shuffles them: a row whose bit is unset has no partner. Its size is
+    bounded (8 MB) whatever the data's; where it fills up, more rows without
+    a partner go through the join, and the result stays the same."""
+
+    BITS = 1 << 26
+
+    def __init__(self, keys: DataFrame):
+        slot = F.pmod(F.col("dk"), F.lit(self.BITS))
+        words = (keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toArrow())
+        bits = np.zeros(self.BITS // 64, np.uint64)
+        bits[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
+        self.bits = keys.sparkSession.sparkContext.broadcast(bits)
+
+    def split(self, rows: DataFrame, listed: bool) -> DataFrame:
+        """The rows (with a column dk) whose bit is set, or those whose bit is not."""
+        bits, size = self.bits, self.BITS
+
+        def run(batches):
+            for batch in batches:
+                slot = np.mod(batch.column(batch.schema.get_field_index("dk")).to_numpy(), size)
+                held = pa.array((bits.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == int(listed))
+                for i in range(0, batch.num_rows, SLICE):  # small batches on the way back
+                    yield batch.slice(i, SLICE).filter(held.slice(i, SLICE))
+
+        return rows.mapInArrow(run, rows.schema)
+
+
+def with_spans(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that may have spans, joined with _spans (null where
+    there are none), and the others; from (dk, dk2, spans)."""
+    sieve = Sieve(spans)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    keys = [doc_key().alias("dk"), second_key().alias("dk2")]
+    rows = docs.select(*keys, *[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    back = [F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)]
+    joined = sieve.split(rows, True).join(spans.select("dk", "dk2", F.col("spans").alias("_spans")), ["dk", "dk2"], "left")
+    return joined.select(*back, "_spans"), sieve.split(rows, False).select(*back)

@@ -22,18 +22,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bancalyt.llm.anchors import HOT, counted_windows, keyed, recurring, second_key
-from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, doc_key, materialize, workers_find_package
+from bancalyt.llm.anchors import HOT, Sieve, counted_windows, keyed, recurring, with_spans
+from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, materialize, workers_find_package
 from bancalyt.llm.rolling import BYTE_VALUES, Prefix, mix, window_anchors
 
 WINDOW = 400
 #: first positions of a window among which its anchor is chosen
-WIDTH = 200
+WIDTH = 256
 #: bytes whose hash orders the positions
 GRAM = 16
 #: suffixes of one sorted run, and of one merged range on average
 RUN = 1 << 16
 RANGE = 1 << 14
+#: copies of a passage that are cut to suffixes in one task, on average
+COPIES = 500
 #: bytes by which ranges are cut, and one key in how many gives a sample of them
 CUT = 24
 SAMPLE = 64
@@ -263,7 +265,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     ranges = max(1, math.ceil(again.cold / RANGE))
     cuts = sorted(bytes(r.cut) for r in samples)
     cuts = sorted({cuts[len(cuts) * i // ranges] for i in range(1, ranges)}) if cuts else []
-    candidates = rows.join(again.places, "dk")
+    candidates = Sieve(again.places).split(rows, True).join(again.places, "dk")
 
     def marked(batch, column):
         """Texts and anchors, with which anchors are listed in ``column``."""
@@ -319,7 +321,11 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
         if blobs:
             yield flush()
 
-    spans = (candidates.where(F.size("cold") > 0).select("text", "dk", "dk2", "cold").mapInArrow(sort_runs, "target int, run binary")
+    # documents that share a recurring key meet before they are cut to suffixes,
+    # so that a run front-codes their copies; large groups go to several tasks
+    share = F.pmod(F.col("dk"), F.ceil(F.col("copies") / COPIES).cast("long"))
+    spans = (candidates.where(F.size("cold") > 0).select("text", "dk", "dk2", "cold", "home", share.alias("share"))
+             .repartition("home", "share").mapInArrow(sort_runs, "target int, run binary")
              .repartition("target").sortWithinPartitions("target").mapInArrow(merge_runs, "dk long, dk2 long, begin long, end long"))
 
     def hash_windows(batches):
@@ -362,30 +368,29 @@ def _cut(text: bytes, spans) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, stretches
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    named = spans.select(F.col("dk").alias("_dk"), F.col("dk2").alias("_dk2"), F.col("spans").alias("_spans"))
-    mine = docs.withColumn("_k", doc_key()).withColumn("_k2", second_key())
-    return mine.join(named, (F.col("_k") == F.col("_dk")) & (F.col("_k2") == F.col("_dk2")), "left").drop("_k", "_k2", "_dk", "_dk2")
-
-
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     A null text is empty; repeated rows are copies of each other, so that all
     their strings of 400 bytes or more go; rows without doc_id count too."""
     docs = docs.select("doc_id", "text")
-    rows = _with_spans(docs, removed_spans(docs))
+    some, others = with_spans(docs, removed_spans(docs))
+
+    def spans_of(batch):
+        at = batch.schema.get_field_index("_spans")
+        return batch.column(at).to_pylist() if at >= 0 else [None] * batch.num_rows
 
     def run(batches):
         for batch in blocks(batches, "text"):
             texts = as_bytes(batch.column("text"))
-            found = [_cut(t, s) for t, s in zip(texts, batch.column("_spans").to_pylist(), strict=True)]
+            found = [_cut(t, s) for t, s in zip(texts, spans_of(batch), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()), pa.array([x[1] for x in found], pa.int64()),
                  pa.array([x[2] for x in found], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in found])],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return some.mapInArrow(run, schema).unionByName(others.mapInArrow(run, schema))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -393,7 +398,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Where a cut parts the bytes of one character, these bytes go too."""
     columns = docs.columns
-    rows = _with_spans(docs, removed_spans(docs.select("doc_id", "text")))
+    some, others = with_spans(docs, removed_spans(docs.select("doc_id", "text")))
 
     @F.pandas_udf("string")
     def cut(text, spans):
@@ -402,4 +407,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return pd.Series([None if t is None else _cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)])
 
     changed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans"))
-    return rows.withColumn("text", changed).select(*columns)
+    return some.withColumn("text", changed).select(*columns).unionByName(others)
