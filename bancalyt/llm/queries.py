@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bancalyt.llm import bpe, mixing, quality, simhash, suffixes, token_store
+from bancalyt.llm import ann_tree, bpe, html_layout, mixing, phrases, quality, simhash, suffixes, token_spans, token_store
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,14 +16,30 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.report(table(spark, sf_dir, "documents"))
 
 
+def op2_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.neighbours(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"))
 
 
+def op4_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(table(spark, sf_dir, "documents"))
+
+
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op7_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_spans.section_counts(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
 
@@ -37,7 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op3_bpe, op6_quality, op8_suffix_dedup, op9_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_ann_tree, op3_bpe, op4_phrases, op5_html_layout, op6_quality, op7_token_spans, op8_suffix_dedup, op9_mixing, op10_simhash)}
 
 ORACLE_SQL = {
     "op6_quality": quality.oracle("documents"),
