@@ -9,7 +9,6 @@ operators/  DataFrame -> DataFrame building blocks (top-k, top-n per group,
             neighbour difference, exclusion, group metrics, share of total, pivot)
 plans/      the named queries of the catalogue, their registry and the DuckDB
             oracle SQL used as a correctness check
-streaming/  nothing: the catalogue is batch only (see README)
 """
 
 from bancalyt.sources.tables import BankTables

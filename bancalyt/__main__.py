@@ -12,13 +12,14 @@ collected to the driver except with ``--show N``, which prints N rows.
 from __future__ import annotations
 
 import argparse
+import ast
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bancalyt.plans.registry import BLOCKS, REGISTRY, run, run_all, run_block
 from bancalyt.session import configure
-from bancalyt.sources import from_testdata, load_catalog, load_parquet
+from bancalyt.sources import from_testdata, load_catalog, load_jdbc, load_parquet
 from bancalyt.sources.tables import BankTables
 
 
@@ -29,15 +30,39 @@ def _source(spark: SparkSession, args) -> BankTables:
         return load_parquet(spark, args.parquet)
     if args.catalog:
         return load_catalog(spark, args.catalog)
-    raise SystemExit("give one of --testdata, --parquet, --catalog")
+    if args.jdbc:
+        return load_jdbc(spark, args.jdbc, dict(_pairs(args.property)))
+    raise SystemExit("give one of --testdata, --parquet, --catalog, --jdbc")
+
+
+def _pairs(items: list[str]) -> list[tuple[str, str]]:
+    pairs = [tuple(item.split("=", 1)) for item in items]
+    if any(len(p) != 2 for p in pairs):
+        raise SystemExit("give properties and parameters as NAME=VALUE")
+    return pairs
+
+
+def _params(items: list[str]) -> dict:
+    """NAME=VALUE: numbers and None as such, anything else as text."""
+    out = {}
+    for name, value in _pairs(items):
+        try:
+            out[name] = ast.literal_eval(value)
+        except (ValueError, SyntaxError):
+            out[name] = value
+    return out
 
 
 def _emit(key: str, df: DataFrame, args) -> None:
-    if args.show:
-        df.show(args.show, truncate=False)
+    """Write and show a result; what was written is shown from there, so that
+    the query runs once."""
     if args.out:
         target = args.out if args.command == "run" else f"{args.out}/{key}"
         df.write.mode(args.mode).format(args.format).save(target)
+        if args.show:
+            df = df.sparkSession.read.format(args.format).schema(df.schema).load(target)
+    if args.show:
+        df.show(args.show, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -54,6 +79,11 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--testdata", help="directory of the TPC-H-style test tables")
         src.add_argument("--parquet", help="directory with one parquet dataset per table")
         src.add_argument("--catalog", help="database of bucketed catalog tables")
+        src.add_argument("--jdbc", help="JDBC URL of the bank's database (see sources.jdbc_url)")
+        p.add_argument("--property", action="append", default=[], metavar="NAME=VALUE",
+                       help="JDBC property (user, password, driver, ...)")
+        p.add_argument("--param", action="append", default=[], metavar="NAME=VALUE",
+                       help="parameter of the query (k=None, as_of=2024-06-30, above=1000, ...)")
         p.add_argument("--out", help="output path (a directory per query for blocks)")
         p.add_argument("--format", default="parquet", choices=["parquet", "json", "csv", "orc"])
         p.add_argument("--mode", default="errorifexists",
@@ -69,11 +99,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("bancalyt").getOrCreate())
     tables = _source(spark, args)
     if args.command == "run":
-        frames = {args.key: run(spark, args.key, tables)}
+        frames = {args.key: run(spark, args.key, tables, **_params(args.param))}
     elif args.command == "run-block":
-        frames = run_block(spark, args.block, tables)
+        frames = run_block(spark, args.block, tables, **_params(args.param))
     else:
-        frames = run_all(spark, tables)
+        frames = run_all(spark, tables, **_params(args.param))
     for key, df in frames.items():
         _emit(key, df, args)
     return 0

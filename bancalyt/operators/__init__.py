@@ -1,11 +1,10 @@
 from bancalyt.operators.aggregates import indicator_rates, pivot_counts, share_of_total
 from bancalyt.operators.joins import (
-    above_group_mean,
     exclude,
-    group_mean,
     hot_keys,
     preaggregate_join,
     salted_join,
+    spread_join,
 )
 from bancalyt.operators.ordering import (
     neighbor_diff,
@@ -17,7 +16,7 @@ from bancalyt.operators.ordering import (
 )
 
 __all__ = [
-    "above_group_mean", "exclude", "group_mean", "hot_keys", "indicator_rates",
+    "exclude", "hot_keys", "indicator_rates",
     "neighbor_diff", "pivot_counts", "preaggregate_join", "rank_all", "rank_within", "salted_join",
-    "share_of_total", "sort_spec", "top_k", "top_n_per_group",
+    "share_of_total", "sort_spec", "spread_join", "top_k", "top_n_per_group",
 ]

@@ -4,27 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def share_of_total(df: DataFrame, value: str, out: str = "pct", decimals: int = 1,
-                   scale: int = 100, bounded: bool = True) -> DataFrame:
+                   scale: int = 100) -> DataFrame:
     """``round(value * scale / sum(value over all rows), decimals)``.
 
-    ``bounded=True`` is for a rollup whose row count has a fixed bound (one
-    row per label of a CASE ladder, per risk level, ...): the grand total is
-    a window over those few rows, so the input is computed once.
-    ``bounded=False`` is for inputs of any size: the total is a scalar
-    subquery (its own two-phase aggregate), so rows are never gathered into
-    one partition, at the price of evaluating ``df`` a second time.
-
-    A zero total gives null instead of a division error.
+    The total is a scalar subquery: a two-phase aggregate over the same
+    rollup, whose shuffle adaptive execution reuses, so the facts are read
+    once and rows are never gathered into one partition.  A zero total gives
+    null instead of a division error.
     """
-    if bounded:
-        total = F.sum(value).over(Window.partitionBy())
-    else:
-        total = df.select(F.sum(value)).scalar()
+    total = df.select(F.sum(value)).scalar()
     return df.withColumn(out, F.round(F.try_divide(F.col(value) * F.lit(scale), total), decimals))
 
 
@@ -39,12 +32,18 @@ def indicator_rates(df: DataFrame, keys: Sequence[str], flags: Mapping[str, str]
 
 
 def pivot_counts(df: DataFrame, rows: Sequence[str], column: str, value: str,
-                 values: Sequence[str], fill: int = 0) -> DataFrame:
+                 values: Sequence[str], fill: int = 0, other: str | None = None) -> DataFrame:
     """Matrix ``rows x values`` of ``sum(value)``; a missing cell is ``fill``.
 
     The pivot values are given, so Spark plans a single aggregation (no
     extra job to discover the distinct values) and the output schema is
-    fixed.
+    fixed.  ``other`` names a column for what has none of these values, so
+    that no row of ``df`` is left out of its row's cells.
     """
-    wide = df.groupBy(*rows).pivot(column, list(values)).agg(F.sum(value))
-    return wide.na.fill(fill, subset=list(values))
+    cells = [*values]
+    if other is not None:
+        cells.append(other)
+        named = F.col(column).isin(*values)
+        df = df.withColumn(column, F.when(named, F.col(column)).otherwise(F.lit(other)))
+    wide = df.groupBy(*rows).pivot(column, cells).agg(F.sum(value))
+    return wide.na.fill(fill, subset=cells)

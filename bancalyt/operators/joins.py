@@ -1,8 +1,8 @@
-"""Join-shaped operators: exclusion, comparison with a group mean, and
-pre-aggregated enrichment.
+"""Join-shaped operators: exclusion, pre-aggregated enrichment, joins on
+hot keys and on keys of few values.
 
 Broadcast policy: none of these hints a broadcast.  The small sides here
-(group means, per-key aggregates, exclusion sets) have no size bound that
+(per-key aggregates, exclusion sets, hot keys) have no size bound that
 holds at every scale, so the decision is left to adaptive execution, which
 turns a sort-merge join into a broadcast join only after it has measured
 the shuffled side at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``)
@@ -50,22 +50,6 @@ def exclude(df: DataFrame, excl: DataFrame, on: str, null_aware: bool = False) -
     return kept.where(verdict)
 
 
-def group_mean(population: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
-    """Mean of ``value`` per group (one row per group, partial aggregation
-    before the shuffle)."""
-    return population.groupBy(*group).agg(F.avg(value).alias(out))
-
-
-def above_group_mean(df: DataFrame, population: DataFrame, group: Sequence[str], value: str,
-                     out: str = "media") -> DataFrame:
-    """Rows of ``df`` whose ``value`` exceeds the mean of ``value`` over
-    ``population`` rows of the same group (the decorrelated form of a
-    correlated scalar subquery).  Rows whose group is null or absent from the
-    population are dropped, as the subquery yields null for them."""
-    means = group_mean(population, group, value, out)
-    return df.join(means, list(group)).where(F.col(value) > F.col(out))
-
-
 def preaggregate_join(base: DataFrame, fact: DataFrame, on: str | Sequence[str],
                       aggs: Sequence[Column], how: str = "left",
                       fill: Mapping[str, object] | None = None) -> DataFrame:
@@ -82,47 +66,50 @@ def preaggregate_join(base: DataFrame, fact: DataFrame, on: str | Sequence[str],
     return joined.na.fill(dict(fill)) if fill else joined
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int, max_keys: int = 1000,
-             max_salts: int = 4096) -> DataFrame:
-    """Keys holding more than ``rows_per_task`` rows of ``df``, with the
-    number of salts each needs (``ceil(rows / rows_per_task)``, at most
-    ``max_salts``): ``(key, _salts)``.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """``(key, _salts)``: every key holding more than ``rows_per_task`` rows of
+    ``df`` and the number of tasks its rows need, ``ceil(rows / rows_per_task)``.
 
-    At most ``max_keys`` keys (the heaviest) are returned, so the result has
-    a proven size bound and can be broadcast.  One pass over the key column
-    with map-side partial counts.  Keys beyond ``max_keys`` take the
-    ordinary path in :func:`salted_join` (still exact).
-    """
+    One pass over the key column with map-side partial counts.  There can
+    never be more than ``total rows / rows_per_task`` such keys."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
               .where(F.col("_rows") > rows_per_task)
-              .orderBy(F.desc("_rows"), F.asc(key))
-              .limit(max_keys)
-              .select(key, F.least(F.ceil(F.col("_rows") / rows_per_task),
-                                   F.lit(max_salts)).cast("int").alias("_salts")))
+              .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("long").alias("_salts")))
 
 
 def salted_join(fact: DataFrame, per_key: DataFrame, key: str, hot: DataFrame, salt_from: str,
                 how: str = "inner") -> DataFrame:
     """``fact JOIN per_key ON key`` with the rows of hot keys spread over
-    several partitions.
+    several tasks.
 
     ``per_key`` has at most one row per key (customers, a key set for a
     semi/anti join); ``hot`` is ``(key, _salts)`` from :func:`hot_keys`.
     A row of ``fact`` with a hot key gets salt ``hash(salt_from) mod
     _salts`` (deterministic, so a recomputed task assigns the same salt) and
     the matching ``per_key`` row is replicated once per salt.  Every other
-    row joins with salt 0 like an ordinary hash join.  ``hot`` is broadcast:
-    its size is bounded by construction.  Works for inner, left, left_semi
-    and left_anti joins.
+    row joins with salt 0 like an ordinary hash join.  How ``hot`` reaches
+    the rows is left to the optimizer, which knows its size at run time.
+    Works for inner, left, left_semi and left_anti joins.
     """
-    marks = F.broadcast(hot.select(key, "_salts"))
+    marks = hot.select(key, "_salts")
     salted_fact = (fact.join(marks, key, "left")
                    .withColumn("_salt", F.coalesce(
-                       F.pmod(F.xxhash64(salt_from), F.col("_salts").cast("long")), F.lit(0)))
+                       F.pmod(F.xxhash64(salt_from), F.col("_salts")), F.lit(0).cast("long")))
                    .drop("_salts"))
     replicated = (per_key.join(marks, key, "left")
                   .withColumn("_salt", F.explode(F.sequence(
-                      F.lit(0).cast("long"),
-                      F.coalesce(F.col("_salts"), F.lit(1)).cast("long") - 1)))
+                      F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1).cast("long")) - 1)))
                   .drop("_salts"))
     return salted_fact.join(replicated, [key, "_salt"], how).drop("_salt")
+
+
+def spread_join(fact: DataFrame, per_group: DataFrame, key: str, salt_from: str,
+                salts: int = 64) -> DataFrame:
+    """Inner join on a key of few values (segment, risk level): every row of
+    ``per_group`` (one per value) is replicated ``salts`` times and the rows
+    of ``fact`` are dealt over the copies, so that no value's rows meet in
+    one task even where the small side is not broadcast."""
+    copies = per_group.withColumn("_salt", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    dealt = fact.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)))
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")

@@ -47,11 +47,11 @@ def sort_spec(order: Sequence[Column], tie_break: Sequence[str] = ()) -> list[Co
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int | None,
           tie_break: Sequence[str] = ()) -> DataFrame:
-    """The first ``k`` rows by ``order`` then ``tie_break``; all rows, sorted,
-    when ``k`` is None.  Ending the order with a unique key makes the cut
+    """The first ``k`` rows by ``order`` then ``tie_break``; all rows, in no
+    order, when ``k`` is None (a whole result is not range-shuffled for its
+    display order).  Ending the order with a unique key makes the cut
     deterministic."""
-    ordered = df.orderBy(*sort_spec(order, tie_break))
-    return ordered if k is None else ordered.limit(k)
+    return df if k is None else df.orderBy(*sort_spec(order, tie_break)).limit(k)
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int,
@@ -141,9 +141,14 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     ``rank``/``dense_rank`` use the value only; ``row_number``, lag and lead
     also ``row_id``.  ``default`` is the lag / lead of a row without a
     neighbour.  ``value`` must be numeric, ``row_id`` an integer key and the
-    ``by`` columns numeric or strings (their nulls are matched through
-    non-null surrogate keys, so the row-level window and join share one
-    shuffle of the rows).
+    ``by`` columns numeric or strings.
+
+    The input is aggregated once, to (group, value, id bucket); everything
+    else is windows chained on that small table, all of them inside one
+    value bucket, plus one window over the buckets of a group.  The rows
+    themselves are shuffled once, for the numbering inside their id bucket
+    and the join with the small table.  Null row ids come first in a run of
+    equal values, as in an ascending order.
 
     Sizing: a value bucket holds at most ``value_width / resolution``
     distinct values (cents for money), an id bucket at most ``id_width``
@@ -151,75 +156,62 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     value_width`` bucket rows; pick the widths so all three stay bounded.
     """
     kinds = dict(kinds or {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"})
-    keys = [*by, value]
-
-    def on(left, right, cols):
-        return [left[c].eqNullSafe(right[c]) for c in cols]
-
-    # rows per (group, value, id bucket); the distinct values are rolled up
-    # from it, so the input is aggregated once for both levels
-    idb = F.floor(F.col(row_id) / F.lit(id_width))
-    rows = df.withColumn("_idb", idb)
-    # (only counts: every aggregate path then reads the same partial
-    # aggregate, which lets Spark share its shuffle)
-    tie_buckets = rows.groupBy(*keys, "_idb").agg(F.count(F.lit(1)).alias("_tc"))
-    # one row per distinct (group, value) with the size of its tie run
-    vb = F.floor(F.col(value) / F.lit(value_width))
-    distinct = (tie_buckets.groupBy(*keys).agg(F.sum("_tc").alias("_c"))
-                .withColumn("_vb", vb))
-    w_bucket = Window.partitionBy(*by, "_vb").orderBy(F.col(value).desc())
-    inside = distinct.withColumns({
-        "_c_before": F.coalesce(F.sum("_c").over(
-            w_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "_ld": F.row_number().over(w_bucket),
-        "_prev_in": F.lag(value).over(w_bucket),
-        "_next_in": F.lead(value).over(w_bucket),
+    # non-null surrogates of the keys, so that all joins are plain equalities
+    group, run = [], []
+    cols = {}
+    for c, names in [*((c, group) for c in by), (value, run)]:
+        cols[f"_s_{c}"] = F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
+        cols[f"_z_{c}"] = F.col(c).isNull()
+        names += [f"_s_{c}", f"_z_{c}"]
+    lowest = F.lit(-(1 << 62)).cast("long")
+    cols["_vb"] = F.coalesce(F.floor(F.col(value) / F.lit(value_width)).cast("long"), lowest)
+    cols["_idb"] = F.coalesce(F.floor(F.col(row_id) / F.lit(id_width)).cast("long"), lowest)
+    rows = df.withColumns(cols)
+
+    level = rows.groupBy(*group, "_vb", *run, "_idb", value).agg(F.count(F.lit(1)).alias("_tc"))
+    bucket = Window.partitionBy(*group, "_vb")
+    in_order = bucket.orderBy(F.col(value).desc(), F.col("_idb").asc())
+    tied = Window.partitionBy(*group, "_vb", *run).orderBy("_idb")
+    whole_run = tied.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ahead = (Window.unboundedPreceding, -1)
+    # windows of the bucket first: those of a run then need no other shuffle
+    level = level.withColumns({
+        "_before": F.coalesce(F.sum("_tc").over(in_order.rowsBetween(*ahead)), F.lit(0)),
+        "_ld": F.dense_rank().over(bucket.orderBy(F.col(value).desc())),
+        "_lag": F.lag(value).over(in_order), "_has_lag": F.lag(F.lit(1)).over(in_order).isNotNull(),
+        "_lead": F.lead(value).over(in_order), "_has_lead": F.lead(F.lit(1)).over(in_order).isNotNull(),
+    }).withColumns({
+        "_tie_before": F.coalesce(F.sum("_tc").over(tied.rowsBetween(*ahead)), F.lit(0)),
+        "_c": F.sum("_tc").over(whole_run),
+        "_prev_in": F.first("_lag").over(whole_run), "_has_prev_in": F.first("_has_lag").over(whole_run),
+        "_next_in": F.last("_lead").over(whole_run), "_has_next_in": F.last("_has_lead").over(whole_run),
     })
-    buckets = distinct.groupBy(*by, "_vb").agg(
-        F.sum("_c").alias("_bn"), F.count(F.lit(1)).alias("_bd"),
-        F.max(value).alias("_btop"),
-        F.min(value).alias("_bbottom"))
-    w_seq = Window.partitionBy(*by).orderBy(F.col("_vb").desc())
-    before = w_seq.rowsBetween(Window.unboundedPreceding, -1)
-    bucket_off = buckets.select(
-        *by, "_vb", "_bd",
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_bd").over(before), F.lit(0)).alias("_dist_before"),
-        F.lag("_bbottom").over(w_seq).alias("_prev_bucket_last"),
-        F.lag(F.lit(1)).over(w_seq).isNotNull().alias("_has_prev"),
-        F.lead("_btop").over(w_seq).alias("_next_bucket_first"),
-        F.lead(F.lit(1)).over(w_seq).isNotNull().alias("_has_next"))
-    ranked_values = inside.join(bucket_off, on(inside, bucket_off, [*by, "_vb"])).select(
-        *[inside[c] for c in keys], "_c",
-        (F.col("_rows_before") + F.col("_c_before") + 1).alias("_rank"),
+    # one row per bucket (from the same shuffle), put in order inside the group
+    buckets = level.groupBy(*group, "_vb").agg(
+        F.sum("_tc").alias("_bn"), F.count_if(F.col("_tie_before") == 0).alias("_bd"),
+        F.max(value).alias("_btop"), F.min(value).alias("_bbottom"))
+    seq = Window.partitionBy(*group).orderBy(F.col("_vb").desc())
+    offsets = buckets.select(
+        *group, "_vb",
+        F.coalesce(F.sum("_bn").over(seq.rowsBetween(*ahead)), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("_bd").over(seq.rowsBetween(*ahead)), F.lit(0)).alias("_dist_before"),
+        F.lag("_bbottom").over(seq).alias("_prev_bucket_last"),
+        F.lag(F.lit(1)).over(seq).isNotNull().alias("_has_prev_bucket"),
+        F.lead("_btop").over(seq).alias("_next_bucket_first"),
+        F.lead(F.lit(1)).over(seq).isNotNull().alias("_has_next_bucket"))
+    level = level.join(offsets, [*group, "_vb"]).select(
+        *group, *run, "_idb", "_tie_before", "_c",
+        (F.col("_rows_before") + F.col("_before") - F.col("_tie_before") + 1).alias("_rank"),
         (F.col("_dist_before") + F.col("_ld")).alias("_dense"),
-        F.when(F.col("_ld") > 1, F.col("_prev_in"))
-         .when(F.col("_has_prev"), F.col("_prev_bucket_last")).alias("_prev_v"),
-        (F.col("_ld") > 1).alias("_ld_gt1"), F.col("_has_prev"),
-        F.when(F.col("_ld") < F.col("_bd"), F.col("_next_in"))
-         .when(F.col("_has_next"), F.col("_next_bucket_first")).alias("_next_v"),
-        ((F.col("_ld") < F.col("_bd")) | F.col("_has_next")).alias("_has_next_v"))
-
-    # position inside a tie run: prefix counts over the id buckets
-    w_tie = Window.partitionBy(*keys).orderBy("_idb")
-    tie_off = tie_buckets.select(*keys, "_idb", F.coalesce(F.sum("_tc").over(
-        w_tie.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_tie_before"))
-    # everything a row needs, one row per (group, value, id bucket): the small
-    # tables meet first, so the rows are joined once
-    tie_level = tie_off.join(ranked_values, on(tie_off, ranked_values, keys)).select(
-        *[tie_off[c] for c in tie_off.columns],
-        *[ranked_values[c] for c in ranked_values.columns if c not in keys])
-    # non-null surrogates of the keys: the row window and the row join are
-    # partitioned on the same plain columns, so the rows are shuffled once
-    sur = {}
-    for c in keys:
-        sur[f"_s_{c}"] = F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
-        sur[f"_z_{c}"] = F.col(c).isNull()
-    jk = [*sur, "_idb"]
-    local = rows.withColumns(sur).withColumn("_trn", F.row_number().over(
+        F.when(F.col("_has_prev_in"), F.col("_prev_in")).otherwise(F.col("_prev_bucket_last")).alias("_prev_v"),
+        (F.col("_has_prev_in") | F.col("_has_prev_bucket")).alias("_has_prev_v"),
+        F.when(F.col("_has_next_in"), F.col("_next_in")).otherwise(F.col("_next_bucket_first")).alias("_next_v"),
+        (F.col("_has_next_in") | F.col("_has_next_bucket")).alias("_has_next_v"))
+
+    jk = [*group, *run, "_idb"]
+    numbered = rows.drop("_vb").withColumn("_trn", F.row_number().over(
         Window.partitionBy(*jk).orderBy(F.col(row_id).asc())))
-    tie_level = tie_level.withColumns(sur).drop(*keys)
-    full = local.join(tie_level, jk)
+    full = numbered.join(level, jk)
 
     out = {}
     for name, kind in kinds.items():
@@ -236,7 +228,7 @@ def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
     last_of_run = position_in_run == F.col("_c")
     if lag_out:
         out[lag_out] = (F.when(~first_of_run, F.col(value))
-                        .when(F.col("_ld_gt1") | F.col("_has_prev"), F.col("_prev_v"))
+                        .when(F.col("_has_prev_v"), F.col("_prev_v"))
                         .otherwise(F.lit(default)))
     if lead_out:
         out[lead_out] = (F.when(~last_of_run, F.col(value))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -41,9 +43,9 @@ CL, CU, PR, SC, SU, PV, PD, CP = ("Clientes", "Cuentas", "Prestamos", "ScoreClie
 _DEFS = [
     QueryDef("a1_card_offer", "Card offer by balance", "classification", (CL, CU), q.a1_card_offer),
     QueryDef("a2_multi_product", "Card, fund and insurance recommendation", "classification",
-             (CL, CU, SC), q.a2_multi_product),
+             (CL, CU, SC), partial(q.a2_multi_product, as_of=q.PINNED_AS_OF)),
     QueryDef("a2_multi_product_days365", "A2 with age as floor(days / 365)", "classification",
-             (CL, CU, SC), lambda t: q.a2_multi_product(t, age_mode="days365")),
+             (CL, CU, SC), partial(q.a2_multi_product, as_of=q.PINNED_AS_OF, age_mode="days365")),
     QueryDef("b1_rank_compare", "RANK vs DENSE_RANK vs ROW_NUMBER per branch", "windows",
              (CL, CU), q.b1_rank_compare),
     QueryDef("b2_top3_province", "Top-3 balances per province", "windows", (CL, CU, PV),
@@ -76,9 +78,9 @@ _DEFS = [
     QueryDef("g1_deposit_not_in", "Deposit candidates (NOT IN)", "recommendation",
              (CL, CU, SC, CP, PD), q.g1_deposit_not_in),
     QueryDef("g2_score_360", "360 scoring: propensities and active products", "recommendation",
-             (CL, CU, SC, CP), q.g2_score_360),
+             (CL, CU, SC, CP), partial(q.g2_score_360, as_of=q.PINNED_AS_OF)),
     QueryDef("g2_score_360_days365", "G2 with age as floor(days / 365)", "recommendation",
-             (CL, CU, SC, CP), lambda t: q.g2_score_360(t, age_mode="days365")),
+             (CL, CU, SC, CP), partial(q.g2_score_360, as_of=q.PINNED_AS_OF, age_mode="days365")),
     QueryDef("h1_offer_counts", "Accounts per offer tier", "charts", (CL, CU), q.h1_offer_counts),
     QueryDef("h2_branch_balance", "Top branches by balance", "charts", (SU, CL, CU),
              q.h2_branch_balance),
@@ -111,23 +113,40 @@ def _tables(spark: SparkSession, source: BankTables | str) -> BankTables:
     return source if isinstance(source, BankTables) else from_testdata(spark, source)
 
 
+def _build(d: QueryDef, tables: BankTables, params: dict) -> DataFrame:
+    known = [n for n in list(signature(d.build).parameters)[1:] if n != "params"]
+    unknown = sorted(set(params) - set(known))
+    if unknown:
+        raise ValueError(f"{d.key} has no parameter {', '.join(unknown)}; it has: {', '.join(known) or 'none'}")
+    return d.build(tables, **params)
+
+
 def run(spark: SparkSession, key: str, source: BankTables | str, **params) -> DataFrame:
-    """Plan one query; ``source`` is a :class:`BankTables` or a test-data dir."""
+    """Plan one query; ``source`` is a :class:`BankTables` or a test-data dir.
+
+    ``params`` are the query's own keyword parameters (``k``, thresholds,
+    ``as_of``; the registry pins ``as_of``, None asks for the current date)."""
     if key not in REGISTRY:
         raise ValueError(f"unknown query {key!r}")
-    return REGISTRY[key].build(_tables(spark, source), **params)
+    return _build(REGISTRY[key], _tables(spark, source), params)
 
 
-def run_block(spark: SparkSession, block: str, source: BankTables | str) -> dict[str, DataFrame]:
+def run_block(spark: SparkSession, block: str, source: BankTables | str, **params) -> dict[str, DataFrame]:
+    """Plan every query of a block; each takes those of ``params`` that it has."""
     if block not in BLOCKS:
         raise ValueError(f"unknown block {block!r}")
-    tables = _tables(spark, source)
-    return {d.key: d.build(tables) for d in _DEFS if d.block == block}
+    return _run_some(spark, [d for d in _DEFS if d.block == block], source, params)
+
+
+def run_all(spark: SparkSession, source: BankTables | str, **params) -> dict[str, DataFrame]:
+    """Plan every query; each takes those of ``params`` that it has."""
+    return _run_some(spark, _DEFS, source, params)
 
 
-def run_all(spark: SparkSession, source: BankTables | str) -> dict[str, DataFrame]:
+def _run_some(spark, defs, source, params) -> dict[str, DataFrame]:
     tables = _tables(spark, source)
-    return {d.key: d.build(tables) for d in _DEFS}
+    return {d.key: _build(d, tables, {n: v for n, v in params.items() if n in signature(d.build).parameters})
+            for d in defs}
 
 
 def catalog_df(spark: SparkSession) -> DataFrame:

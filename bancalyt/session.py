@@ -24,7 +24,6 @@ DEFAULTS = {
     # from the same shuffle as the rows it divides)
     "spark.sql.exchange.reuse": "true",
     "spark.sql.execution.reuseSubquery": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 

@@ -20,14 +20,17 @@ CUSTOMER_KEY = "id_cliente"
 CO_LOCATED = ("Clientes", "Cuentas", "Prestamos", "ScoreCliente", "ClienteProductos")
 
 
-def save_bucketed(tables: BankTables, database: str, buckets: int, path: str | None = None,
+def save_bucketed(tables: BankTables, database: str, buckets: int, path: str,
                   mode: str = "overwrite") -> None:
     """Save the eight tables as ``database.<Table>``; the customer-keyed ones
     bucketed and sorted by ``id_cliente`` into ``buckets`` buckets.
 
     Size ``buckets`` so that one bucket of the largest table is a few
-    hundred MB.  ``path`` places the files (external tables) on shared
-    storage; otherwise the warehouse directory is used.
+    hundred MB.  ``path`` is where the files go, on storage that all executors
+    share.  A bucket is one task and has no shuffle that adaptive execution
+    could split: a customer with a large share of all rows makes its bucket
+    that large.  Use this layout only for data without such customers; from
+    unbucketed tables the queries salt them.
     """
     spark = tables.clientes.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -35,9 +38,7 @@ def save_bucketed(tables: BankTables, database: str, buckets: int, path: str | N
         writer = df.write.mode(mode).format("parquet")
         if name in CO_LOCATED:
             writer = writer.bucketBy(buckets, CUSTOMER_KEY).sortBy(CUSTOMER_KEY)
-        if path is not None:
-            writer = writer.option("path", f"{path}/{name}")
-        writer.saveAsTable(f"{database}.{name}")
+        writer.option("path", f"{path}/{name}").saveAsTable(f"{database}.{name}")
 
 
 def load_catalog(spark: SparkSession, database: str) -> BankTables:

@@ -59,6 +59,10 @@ def jdbc_read_options(table: str, key_range: KeyRange | None, fetchsize: int = 1
     return opts
 
 
+#: tables that grow with the bank, never read by one task
+LARGE_TABLES = ("Clientes", "Cuentas", "Prestamos", "ScoreCliente", "ClienteProductos")
+
+
 def key_range(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
               rows_per_partition: int = 1_000_000) -> KeyRange:
     """Ask the database for min/max/count of the key (one pushed-down query
@@ -84,17 +88,22 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: Mappi
 
 def load_jdbc(spark: SparkSession, url: str, properties: Mapping[str, str],
               ranges: Mapping[str, KeyRange] | None = None,
-              discover: bool = False) -> BankTables:
-    """Read the eight tables over JDBC.
+              discover: bool = True) -> BankTables:
+    """Read the eight tables over JDBC, each when a query first touches it.
 
-    ``ranges`` gives the key range per table; with ``discover=True`` missing
-    ranges are fetched from the database with :func:`key_range`.  Tables with
-    neither are read in one partition (fine for the small dimensions).
+    ``ranges`` gives the key range per table; missing ones are fetched from
+    the database with :func:`key_range` (one row each).  With
+    ``discover=False`` the large tables must have a range; the small
+    dimensions are then read in one partition.
     """
-    frames = {}
-    for name in SCHEMAS:
-        rng = (ranges or {}).get(name)
+    given = dict(ranges or {})
+    if not discover and (missing := [n for n in LARGE_TABLES if n not in given]):
+        raise ValueError(f"no key range for {', '.join(missing)}: one task would read each whole table")
+
+    def read(name: str) -> DataFrame:
+        rng = given.get(name)
         if rng is None and discover:
             rng = key_range(spark, url, name, properties)
-        frames[name] = read_jdbc_table(spark, url, name, properties, rng)
-    return BankTables.from_mapping(frames)
+        return read_jdbc_table(spark, url, name, properties, rng)
+
+    return BankTables.from_mapping({name: (lambda n=name: read(n)) for name in SCHEMAS})

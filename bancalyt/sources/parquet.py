@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from bancalyt.sources.schema import SCHEMAS
 from bancalyt.sources.tables import BankTables
 
 
-def _path(base: str, name: str) -> str:
-    for candidate in (f"{base}/{name}", f"{base}/{name}.parquet"):
-        if os.path.exists(candidate) or "://" in base:
-            return candidate
-    return f"{base}/{name}"
+def _read(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Spark's own reader decides what exists, wherever ``base`` is."""
+    try:
+        return spark.read.parquet(f"{base}/{name}")
+    except AnalysisException as missing:
+        try:
+            return spark.read.parquet(f"{base}/{name}.parquet")
+        except AnalysisException:
+            raise missing from None
 
 
 def load_parquet(spark: SparkSession, base: str) -> BankTables:
-    """Read the eight tables from ``base/<Table>`` parquet datasets.
+    """Read the eight tables from ``base/<Table>`` (or ``<Table>.parquet``).
 
-    The declared schema is passed to the reader, so no footer-driven schema
-    merge happens on the driver, and the scan only reads the columns a
-    query needs (column pruning reaches ``ReadSchema``).
+    Files are read with their own types (one footer each table) and cast to
+    the declared ones by ``conform``, so that exports with money as double or
+    flags as 0/1 are read too; the scan only reads the columns a query needs.
+    A table is looked up when a query first touches it.
     """
-    frames = {
-        name: spark.read.schema(schema).parquet(_path(base, name))
-        for name, schema in SCHEMAS.items()
-    }
-    return BankTables.from_mapping(frames)
+    return BankTables.from_mapping({name: (lambda n=name: _read(spark, base, n)) for name in SCHEMAS})
 
 
 def write_parquet(tables: BankTables, base: str, mode: str = "errorifexists") -> None:

@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bancalyt.sources.schema import SCHEMAS
 from bancalyt.sources.tables import BankTables
 
 
 def source_profile(tables: BankTables) -> DataFrame:
-    """``(tabla, filas)``: one count aggregate per table, unioned.
-
-    Each count is a partial/final aggregate over its own scan; nothing but
-    the eight one-row results meets in the union.
-    """
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias("tabla"), "filas")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """``(tabla, filas, error)``: the row count of every table, or why it cannot
+    be read.
+
+    Each count is a partial/final aggregate over its own scan; only the eight
+    one-row results meet in the union.  A table that cannot be planned or
+    counted gives a null count and the first line of its error, and does not
+    fail the others: the counts run one by one (eight small jobs)."""
+    spark, rows = None, []
+    for name in SCHEMAS:
+        try:
+            df = tables.table(name)
+            spark = df.sparkSession
+            rows.append((name, df.count(), None))
+        except Exception as error:  # noqa: BLE001 - whatever the source says is the result
+            rows.append((name, None, str(error).strip().splitlines()[0][:300] if str(error).strip() else type(error).__name__))
+    spark = spark or SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, "tabla string, filas long, error string")
 
 
 def schema_report(spark: SparkSession, tables: BankTables) -> DataFrame:

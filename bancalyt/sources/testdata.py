@@ -16,7 +16,6 @@ pruning and filter pushdown of a query reach the physical files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bancalyt.sources.tables import BankTables
@@ -94,12 +93,11 @@ class _Sources:
 # into the JVM per table instead of one per column expression.
 def _clientes(src: _Sources) -> DataFrame:
     customer = src["customer"]
-    # nation is the fixed 25-row TPC-H dimension: a broadcast of a proven
-    # size.  Declaring its key unique lets the optimizer drop this outer
-    # join from queries that do not read id_provincia.
+    # Declaring nation's key unique lets the optimizer drop this outer join
+    # from queries that do not read id_provincia.
     nation = src["nation"].select("n_nationkey", "n_regionkey").dropDuplicates(["n_nationkey"])
     return (
-        customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .selectExpr(
             "c_custkey AS id_cliente",
             "split_part(c_name, '#', 1) AS nombre",

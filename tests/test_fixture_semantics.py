@@ -41,7 +41,7 @@ def test_offer_tier_bounds_inclusive_and_exclusive(spark):
         104: "Tarjeta Oro", 105: "Tarjeta Estándar", 106: "Tarjeta Oro",
         107: "Tarjeta Estándar",  # null balance falls to ELSE
     }
-    a2 = collect(q.a2_multi_product(t, k=None), "saldo", "tarjeta")
+    a2 = collect(q.a2_multi_product(t, k=100), "saldo", "tarjeta")
     by_saldo = {s: c for s, c in a2}
     assert by_saldo[10000.0] == "Tarjeta Estándar"   # A2 uses > 10000
     assert by_saldo[10000.01] == "Tarjeta Oro"
@@ -74,10 +74,10 @@ def test_rank_dense_rank_row_number_under_ties(spark):
         Clientes=[cust(1), cust(2), cust(3)],
         Cuentas=[acct(7, 1, 500), acct(5, 2, 500), acct(6, 3, 300)],
     )
-    got = collect(q.b1_rank_compare(t), "saldo", "rnk", "dense_rnk", "row_num")
+    got = collect(q.b1_rank_compare(t).orderBy("row_num"), "saldo", "rnk", "dense_rnk", "row_num")
     assert got == [(500.0, 1, 1, 1), (500.0, 1, 1, 2), (300.0, 3, 2, 3)]
     # row_number ties are broken by id_cuenta: account 5 comes first
-    ids = collect(q.b1_rank_compare(t), "id_cliente", "row_num")
+    ids = collect(q.b1_rank_compare(t).orderBy("row_num"), "id_cliente", "row_num")
     assert ids[0] == (2, 1)
 
 
@@ -102,13 +102,16 @@ def test_lag_lead_and_default(spark):
         Clientes=[cust(1, branch=10), cust(2, branch=10), cust(3, branch=11)],
         Cuentas=[acct(1, 1, 300), acct(2, 2, 300), acct(3, 1, 100), acct(4, 3, 50)],
     )
-    lag = collect(q.b3_lag_diff(t), "id_sucursal", "saldo", "saldo_anterior", "diferencia")
-    assert lag == [(10, 300.0, None, None), (10, 300.0, 300.0, 0.0), (10, 100.0, 300.0, -200.0),
+    def rows(df, *cols):
+        return sorted(collect(df, *cols), key=repr)
+
+    lag = rows(q.b3_lag_diff(t), "id_sucursal", "saldo", "saldo_anterior", "diferencia")
+    assert lag == [(10, 100.0, 300.0, -200.0), (10, 300.0, 300.0, 0.0), (10, 300.0, None, None),
                    (11, 50.0, None, None)]
-    lag0 = collect(q.b3_lag_default(t), "saldo_anterior", "diferencia")
-    assert lag0[0] == (0.0, 300.0) and lag0[3] == (0.0, 50.0)
-    lead = collect(q.b3_lead_diff(t), "saldo", "saldo_siguiente", "diferencia")
-    assert lead == [(300.0, 300.0, 0.0), (300.0, 100.0, 200.0), (100.0, None, None),
+    lag0 = rows(q.b3_lag_default(t), "saldo", "saldo_anterior", "diferencia")
+    assert (300.0, 0.0, 300.0) in lag0 and (50.0, 0.0, 50.0) in lag0
+    lead = rows(q.b3_lead_diff(t), "saldo", "saldo_siguiente", "diferencia")
+    assert lead == [(100.0, None, None), (300.0, 100.0, 200.0), (300.0, 300.0, 0.0),
                     (50.0, None, None)]
     # the lead of the last reported row comes from the row after the cut
     cut = collect(q.b3_lead_diff(t, k=2), "saldo_siguiente")

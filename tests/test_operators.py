@@ -9,7 +9,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bancalyt.operators import (
-    above_group_mean,
     exclude,
     hot_keys,
     neighbor_diff,
@@ -18,6 +17,7 @@ from bancalyt.operators import (
     preaggregate_join,
     rank_within,
     salted_join,
+    spread_join,
     top_k,
     top_n_per_group,
 )
@@ -99,17 +99,24 @@ def test_pivot_counts_fixed_columns(spark):
     assert collect(out) == [("x", 2, 1, 0), ("y", 0, 4, 0)]
 
 
-def test_above_group_mean(spark):
-    pop = spark.createDataFrame([("a", 1), ("a", 3), ("b", 10), (None, 5)], "g string, v long")
-    rows = spark.createDataFrame([("a", 2.5), ("a", 1.0), ("b", 11.0), (None, 99.0)],
-                                 "g string, v double")
-    out = above_group_mean(rows, pop, ["g"], "v", out="m")
-    assert sorted(collect(out)) == [("a", 2.5, 2.0), ("b", 11.0, 10.0)]
+def test_pivot_counts_other_column(spark):
+    df = spark.createDataFrame([("x", "A", 2), ("x", "Z", 1), ("y", None, 4)], "r string, c string, v long")
+    out = pivot_counts(df, ["r"], "c", "v", ["A"], other="rest").orderBy("r")
+    assert out.columns == ["r", "A", "rest"]
+    assert collect(out) == [("x", 2, 1), ("y", 0, 4)]
+
+
+@pytest.mark.parametrize("salts", [1, 5])
+def test_spread_join_equals_plain_join(spark, salts):
+    fact = spark.createDataFrame([(i, "ab"[i % 2] if i % 7 else None) for i in range(60)], "id long, g string")
+    means = spark.createDataFrame([("a", 1.0), (None, 2.0)], "g string, m double")
+    got = spread_join(fact, means, "g", "id", salts)
+    assert sorted(collect(got)) == sorted(collect(fact.join(means, "g")))
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("max_keys", [1, 10])
-def test_salted_join_equals_plain_join(spark, how, max_keys):
+@pytest.mark.parametrize("rows_per_task", [20, 3, 1000])
+def test_salted_join_equals_plain_join(spark, how, rows_per_task):
     rnd = random.Random(3)
     # key 1 holds a third of the rows, key 2 a sixth; some null keys
     keys = [1] * 100 + [2] * 50 + [rnd.randint(3, 40) for _ in range(140)] + [None] * 10
@@ -117,14 +124,13 @@ def test_salted_join_equals_plain_join(spark, how, max_keys):
                                  "id long, k long, v long")
     per_key = spark.createDataFrame([(k, f"c{k}") for k in range(1, 41, 2)] + [(None, "n")],
                                     "k long, name string")
-    hot = hot_keys(fact, "k", rows_per_task=20, max_keys=max_keys)
-    assert hot.count() == max_keys if max_keys == 1 else hot.count() == 2
-    assert collect(hot.orderBy("k")) [0] == (1, 5)
+    hot = hot_keys(fact, "k", rows_per_task=rows_per_task)
+    counts = {k: keys.count(k) for k in set(keys)}
+    assert dict(collect(hot)) == {k: -(-n // rows_per_task) for k, n in counts.items() if n > rows_per_task}
     got = salted_join(fact, per_key, "k", hot, salt_from="id", how=how)
     want = fact.join(per_key, "k", how)
     assert sorted(collect(got), key=repr) == sorted(collect(want), key=repr)
-    p = got._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in p
+    assert "_salt" in got._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("value_width,id_width", [(1, 1), (7, 1000), (10, 3), (1000, 10**6)])

@@ -40,32 +40,29 @@ def test_reports_use_top_k(t):
         assert "TakeOrderedAndProject" in plan(fn(t))
 
 
-def test_whole_results_are_sorted_by_range_partitioning(t):
-    # A1 returns every active account: a distributed sort, not a top-k
-    p = plan(q.a1_card_offer(t))
-    assert "rangepartitioning(id_cuenta" in p and "TakeOrderedAndProject" not in p
+def test_whole_results_are_not_sorted_for_display(t):
+    # every active account: neither a top-k nor a range shuffle of all rows
+    for fn in (q.a1_card_offer, q.b1_rank_compare, q.b3_lag_diff, q.d1_above_segment_mean, q.d1_correlated_sql):
+        p = plan(fn(t))
+        assert "rangepartitioning" not in p and "TakeOrderedAndProject" not in p, fn.__name__
 
 
-def test_totals_do_not_evaluate_the_facts_twice(t):
-    # grand totals are taken over the few rollup rows, so each source table
-    # is scanned once (a scalar subquery would re-run scan, join and rollup)
-    # (j5 is left out of the scan count: Clientes and ScoreCliente are two
-    # logical tables that both map onto the customer file in the test data)
+def test_totals_have_no_single_task_window_and_reuse_the_rollup(t):
     for fn in (q.e2_risk_share, q.h3_risk_share, q.j1_offer_share, q.j4_kpi_balance):
-        p = plan(fn(t))
-        scans = p.count("FileScan parquet")
-        tables = {line.split("[file:")[1].split("]")[0] for line in p.splitlines()
-                  if "FileScan parquet" in line}
-        assert scans == len(tables), fn.__name__
-        assert "Subquery" not in p, fn.__name__
+        df = fn(t)
+        df.collect()
+        p = plan(df).split("== Initial Plan ==")[0]
+        assert "Window" not in p and "CartesianProduct" not in p, fn.__name__
+        assert "Reused" in p, fn.__name__
     assert "Subquery" not in plan(q.j5_kpi_score(t))
 
 
-def test_unbounded_share_uses_a_two_phase_total(spark):
-    from bancalyt.operators import share_of_total
-    df = spark.range(100).selectExpr("id % 7 AS g", "id AS v")
-    p = plan(share_of_total(df, "v", bounded=False))
-    assert "Window" not in p and "Subquery" in p
+def test_accounts_are_not_shuffled_on_the_segment(t):
+    import re
+    for fn in (q.d1_above_segment_mean, q.d1_correlated_sql):
+        for line in plan(fn(t)).splitlines():
+            if "hashpartitioning(segmento" in line:
+                assert not re.search("saldo|id_cuenta", line), fn.__name__
 
 
 def test_windows_only_over_the_k_row_head(t):
@@ -116,10 +113,29 @@ def test_shares_sum_to_100(t):
 def test_pivot_total_equals_h8_total(t):
     h8 = sum(v for (v,) in collect(q.h8_loan_status(t), "total"))
     pv = q.j2_loan_pivot(t)
-    cells = collect(pv.select(sum(F.col(c) for c in q.LOAN_STATUSES).alias("s")))
+    cells = collect(pv.select(sum(F.col(c) for c in [*q.LOAN_STATUSES, q.OTHER_STATUSES]).alias("s")))
     assert h8 == sum(v for (v,) in cells)
 
 
+def test_pivot_leaves_no_status_out(spark):
+    from conftest import d, make_tables
+    loans = [(i, 1 + i % 3, ["Activo", "Moroso", "Reestructurado", None][i % 4]) for i in range(80)]
+    t = make_tables(spark, Prestamos=loans, Sucursales=[(1, "S1", 1), (2, "S2", 1)],
+                    Clientes=[(i, "N", "A", "Pyme", 1 + i % 2, 1, True, d("1970-01-01")) for i in range(1, 4)])
+    per_branch = {}
+    for branch, n in collect(q.h8_loan_status(t), "id_sucursal", "total"):
+        per_branch[branch] = per_branch.get(branch, 0) + n
+    pv = q.j2_loan_pivot(t)
+    assert per_branch == {r["id_sucursal"]: sum(r[c] for c in pv.columns[2:]) for r in pv.collect()}
+    assert sum(r[q.OTHER_STATUSES] for r in pv.collect()) == 20
+
+
+def test_d1_returns_every_segment(t):
+    (n,) = collect(q.d1_above_segment_mean(t).select(F.count_distinct("segmento")))[0]
+    (segments,) = collect(t.clientes.select(F.count_distinct("segmento")))[0]
+    assert n == segments > 1
+
+
 def test_exact_branch_totals_sum_to_bank_total(t):
     branch_total = sum(v or 0 for (v,) in collect(q.c2_branch_metrics_exact(t), "saldo_total"))
     (kpi,) = collect(q.j4_kpi_balance(t), "saldo_total")[0]

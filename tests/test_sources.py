@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 
 from bancalyt.plans.registry import BLOCKS, REGISTRY, catalog_df, run, run_all, run_block
@@ -48,9 +50,92 @@ def test_parquet_roundtrip(spark, tmp_path):
     assert sorted(collect(source_profile(back))) == sorted(collect(source_profile(t)))
 
 
+def test_parquet_of_other_types(spark, tmp_path):
+    # what an export of a database gives: money as double, flags and ids as int
+    base = str(tmp_path / "bank")
+    write_parquet(from_testdata(spark, SF_SMALL), base)
+    spark.createDataFrame([(1, 7, "x", 12.345, 1), (2, 8, "y", 5.0, 0)],
+                          "id_cuenta int, id_cliente int, tipo_cuenta string, saldo double, activa int"
+                          ).write.mode("overwrite").parquet(f"{base}/Cuentas")
+    back = load_parquet(spark, base)
+    assert [(r.id_cuenta, str(r.saldo), r.activa) for r in back.cuentas.orderBy("id_cuenta").collect()] == [
+        (1, "12.35", True), (2, "5.00", False)]
+    assert run(spark, "a1_card_offer", back).count() >= 0
+
+
+def test_profile_of_a_broken_table_leaves_the_others(spark, tmp_path):
+    t = from_testdata(spark, SF_SMALL)
+    base = str(tmp_path / "bank")
+    write_parquet(t, base)
+    back = load_parquet(spark, base)
+    shutil.move(f"{base}/Productos", f"{base}/elsewhere")
+    rows = {r.tabla: r for r in source_profile(back).collect()}
+    assert rows["Productos"].filas is None and rows["Productos"].error
+    assert rows["Clientes"].filas == t.clientes.count() and rows["Clientes"].error is None
+
+
+def test_new_files_are_seen(spark, tmp_path):
+    import __spark_entry__ as entry
+    folder = tmp_path / "sf"
+    shutil.copytree(SF_SMALL, folder)
+    before = {r.tabla: r.filas for r in entry.queries()["source_profile"](spark, str(folder)).collect()}
+    table = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    table.limit(2).toPandas().to_parquet(folder / "region.parquet")
+    after = {r.tabla: r.filas for r in entry.queries()["source_profile"](spark, str(folder)).collect()}
+    assert before["Provincias"] == 5 and after["Provincias"] == 2
+
+
+def test_configure_leaves_the_time_zone_alone():
+    from bancalyt.session import DEFAULTS
+    assert "spark.sql.session.timeZone" not in DEFAULTS
+
+
+def test_ages_are_as_of_today_unless_pinned(spark):
+    from inspect import signature
+
+    from bancalyt.plans import queries as q
+    for fn in (q.a2_multi_product, q.g2_score_360):
+        assert signature(fn).parameters["as_of"].default is None
+    t = from_testdata(spark, SF_SMALL)
+    pinned = [r.edad for r in run(spark, "a2_multi_product", t).collect()]
+    later = [r.edad for r in run(spark, "a2_multi_product", t, as_of="2034-06-30").collect()]
+    assert [x + 10 for x in pinned] == later
+    assert "current_date" in run(spark, "a2_multi_product", t, as_of=None)._jdf.queryExecution().analyzed().toString()
+
+
+def test_parameters_reach_every_query(spark):
+    t = from_testdata(spark, SF_SMALL)
+    assert run(spark, "a2_multi_product_days365", t, k=3).count() == 3
+    assert run(spark, "g2_score_360_days365", t, k=2).count() == 2
+    for key in ("source_profile", "c2_branch_metrics_exact"):
+        with pytest.raises(ValueError, match="has no parameter k"):
+            run(spark, key, t, k=None)
+    assert run_block(spark, "recommendation", t, k=1)["g1_deposit_not_in"].count() == 1
+
+
+def test_jdbc_needs_ranges_for_large_tables(spark, monkeypatch):
+    from bancalyt.sources import jdbc
+    with pytest.raises(ValueError, match="Cuentas"):
+        jdbc.load_jdbc(spark, "jdbc:x", {}, discover=False)
+    asked, read = [], []
+    monkeypatch.setattr(jdbc, "key_range", lambda s, u, name, p: asked.append(name) or KeyRange(1, 9, 3))
+    monkeypatch.setattr(jdbc, "read_jdbc_table", lambda s, u, name, p, key=None: read.append((name, key)) or
+                        s.createDataFrame([], SCHEMAS[name]))
+    t = jdbc.load_jdbc(spark, "jdbc:x", {"user": "u"}, ranges={"Cuentas": KeyRange(1, 5, 2)})
+    assert asked == [] and t.cuentas.count() == 0 and t.clientes.count() == 0
+    assert asked == ["Clientes"] and read == [("Cuentas", KeyRange(1, 5, 2)), ("Clientes", KeyRange(1, 9, 3))]
+
+
+def test_command_line_values():
+    from bancalyt.__main__ import _params
+    assert _params(["k=None", "above=1000", "as_of=2024-06-30"]) == {"k": None, "above": 1000, "as_of": "2024-06-30"}
+    with pytest.raises(SystemExit):
+        _params(["k"])
+
+
 def test_source_profile_counts(spark):
     t = from_testdata(spark, SF_SMALL)
-    prof = dict(collect(source_profile(t)))
+    prof = {r.tabla: r.filas for r in source_profile(t).collect()}
     assert prof["Clientes"] == t.clientes.count()
     assert prof["Sucursales"] == 25 and prof["Provincias"] == 5
     assert set(prof) == set(SCHEMAS)
