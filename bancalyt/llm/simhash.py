@@ -19,7 +19,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bancalyt.llm.common import as_bytes, blocks, doc_key, materialize, workers_find_package
 from bancalyt.llm.components import components
@@ -126,7 +125,8 @@ def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> list[tuple[in
     step = max(1, (1 << 21) // max(1, len(right)))
     for i in range(0, len(left), step):
         block = left[i:i + step]
-        near = np.bitwise_count(block[:, None] ^ right[None, :]) <= max_bits
+        # unsigned: numpy counts the bits of a signed number's absolute value
+        near = np.bitwise_count((block[:, None] ^ right[None, :]).view(np.uint64)) <= max_bits
         rows, cols = np.nonzero(near & (block[:, None] != right[None, :]))
         for f, g in zip(block[rows].tolist(), right[cols].tolist(), strict=True):
             a, b = root(f), root(g)
