@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bancalyt.llm.common import doc_key, materialize
+from bancalyt.llm.common import doc_key, materialize, release_memory
 
 #: rows of a batch that is sent back to the JVM
 SLICE = 500
@@ -88,27 +88,38 @@ class Sieve:
         bits[words.column("w").to_numpy()] = words.column("b").to_numpy().view(np.uint64)
         self.bits = keys.sparkSession.sparkContext.broadcast(bits)
 
-    def split(self, rows: DataFrame, listed: bool) -> DataFrame:
-        """The rows (with a column dk) whose bit is set, or those whose bit is not."""
+    def split(self, rows: DataFrame, listed: bool, then=None, schema=None) -> DataFrame:
+        """The rows (with a column dk) whose bit is set, or those whose bit is not;
+        ``then`` maps their batches on in the same Python worker."""
         bits, size = self.bits, self.BITS
 
-        def run(batches):
+        def keep(batches):
             for batch in batches:
                 slot = np.mod(batch.column(batch.schema.get_field_index("dk")).to_numpy(), size)
                 held = pa.array((bits.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == int(listed))
                 for i in range(0, batch.num_rows, SLICE):  # small batches on the way back
                     yield batch.slice(i, SLICE).filter(held.slice(i, SLICE))
+                release_memory()
 
-        return rows.mapInArrow(run, rows.schema)
+        if then is None:
+            return rows.mapInArrow(keep, rows.schema)
+        return rows.mapInArrow(lambda batches: then(keep(batches)), schema)
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_spans(docs: DataFrame, spans: DataFrame, then=None, schema=None) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` that may have spans, joined with _spans (null where
-    there are none), and the others; from (dk, dk2, spans)."""
+    there are none), and the others; from (dk, dk2, spans). ``then`` maps the
+    batches of both."""
     sieve = Sieve(spans)
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    keys = [doc_key().alias("dk"), second_key().alias("dk2")]
-    rows = docs.select(*keys, *[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    back = [F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)]
-    joined = sieve.split(rows, True).join(spans.select("dk", "dk2", F.col("spans").alias("_spans")), ["dk", "dk2"], "left")
-    return joined.select(*back, "_spans"), sieve.split(rows, False).select(*back)
+    columns = docs.columns
+    names = [f"_c{i}" for i in range(len(columns))]
+    rows = docs.select(doc_key().alias("dk"), second_key().alias("dk2"), *[docs[c].alias(n) for c, n in zip(columns, names, strict=True)])
+    back = [F.col(n).alias(c) for c, n in zip(columns, names, strict=True)]
+    joined = sieve.split(rows, True).join(spans.select("dk", "dk2", F.col("spans").alias("_spans")), ["dk", "dk2"], "left").select(*back, "_spans")
+    if then is None:
+        return joined, sieve.split(rows, False).select(*back)
+
+    def named(batches):
+        yield from then(pa.RecordBatch.from_arrays(batch.columns[2:], columns) for batch in batches)
+
+    return joined.mapInArrow(then, schema), sieve.split(rows, False, named, schema)

@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
+import os
 import re
 import unicodedata
 
@@ -31,8 +33,8 @@ from bancalyt.llm.common import Table, blocks, workers_find_package
 
 TOKENIZER = "word_bpe_49k.json"
 #: entries of a worker's tables: arcs, runs without white space, words
-ARC_TABLE = 1 << 20
-RUN_TABLE = 250_000
+ARC_TABLE = 1 << 19
+RUN_TABLE = 200_000
 WORD_TABLE = 150_000
 
 #: Unicode white space as the tokenizers' patterns know it
@@ -163,6 +165,7 @@ class Tokenizer:
     that each run without white space can be encoded on its own."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
@@ -191,21 +194,13 @@ class Tokenizer:
         normal = self.library.normalizer.normalize_str(run)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def _run(self, run: str) -> list[int]:
-        ids = self.runs.older(run)
-        if ids is not None:
-            return ids
-        ids = []
-        for word in self._split(run):
-            found = self.words.recent.get(word)
-            if found is None:
-                found = self.words.older(word)
-                if found is None:
-                    found = self.automaton.encode(word, self.end)
-                    self.words.put(word, found)
-            ids += found
-        self.runs.put(run, ids)
-        return ids
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
+        return [self.automaton.encode(w, self.end) for w in words]
+
+    def _encode_runs(self, runs: list[str]) -> list[list[int]]:
+        split = [self._split(r) for r in runs]
+        ids = self.words.holding({w for words in split for w in words}, self._encode_words)
+        return [ids[words[0]] if len(words) == 1 else [i for w in words for i in ids[w]] for words in split]
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -214,10 +209,8 @@ class Tokenizer:
             if part in self.added:
                 out.append(self.added[part])
                 continue
-            get = self.runs.recent.get
-            for run in self.runs_pattern.findall(part):
-                ids = get(run)
-                out += self._run(run) if ids is None else ids
+            runs = self.runs_pattern.findall(part)
+            out += itertools.chain.from_iterable(map(self.runs.holding(set(runs), self._encode_runs).__getitem__, runs))
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -229,8 +222,6 @@ class Tokenizer:
 @functools.lru_cache(maxsize=2)
 def load(name: str) -> Tokenizer:
     """The tokenizer of a file: a path, or a name that public_tokenizers knows."""
-    import os
-
     if not os.path.exists(name):
         import public_tokenizers
 
@@ -242,8 +233,9 @@ def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None = None) -> DataFrame:
-    """The columns ``carry`` (default: doc_id) with n_tokens and ids.
+def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """The columns ``carry`` (default: doc_id) with n_tokens and ids, and with
+    ``decoded`` what the ids decode to.
 
     One row per row; a null or empty text has no ids."""
     workers_find_package(docs.sparkSession)
@@ -254,13 +246,15 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None
         own = load(tokenizer)
         for batch in blocks(batches, "_text"):
             ids = [own.encode(t) for t in _texts(batch.column("_text"))]
+            back = [pa.array([own.decode(x) for x in ids], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(carry))), pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
-                [*(f"_c{i}" for i in range(len(carry))), "n_tokens", "ids"])
+                [*(batch.column(i) for i in range(len(carry))), pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), *back],
+                [*(f"_c{i}" for i in range(len(carry))), *names])
 
+    names = ["n_tokens", "ids", *["decoded"] * decoded]
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema if f.name != "_text")
-    out = held.mapInArrow(run, f"{types}, n_tokens long, ids array<int>")
-    return out.select(*[out[f"_c{i}"].alias(c) for i, c in enumerate(carry)], "n_tokens", "ids")
+    out = held.mapInArrow(run, f"{types}, n_tokens long, ids array<int>" + ", decoded string" * decoded)
+    return out.select(*[out[f"_c{i}"].alias(c) for i, c in enumerate(carry)], *names)
 
 
 def decode(rows: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None = None) -> DataFrame:

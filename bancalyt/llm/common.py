@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -65,26 +66,36 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(kind).to_pylist()]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: workers stay alive between tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every libc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Table:
-    """A bounded memo of two generations: the recent one is looked up first
-    (``recent.get``); when it is full it becomes the older one, from which
-    entries that are met again come back."""
+    """A bounded memo of two generations: when the recent one is full it becomes
+    the past one, from which entries that are met again come back."""
 
     def __init__(self, size: int):
         self.size = size
         self.recent: dict = {}
         self.past: dict = {}
 
-    def put(self, key, value) -> None:
-        if len(self.recent) >= self.size:
-            self.past, self.recent = self.recent, {}
-        self.recent[key] = value
-
-    def older(self, key):
-        value = self.past.get(key)
-        if value is not None:
-            self.put(key, value)
-        return value
+    def holding(self, keys: set, make) -> dict:
+        """The recent generation, with all of ``keys``; ``make`` maps a list of
+        unknown keys to their values (none of them None)."""
+        new = keys.difference(self.recent)
+        if new:
+            known = {k: v for k in new if (v := self.past.get(k)) is not None}
+            missing = [k for k in new if k not in known]
+            known.update(zip(missing, make(missing), strict=True))
+            if len(self.recent) + len(known) > self.size:
+                self.past, self.recent = self.recent, {k: v for k in keys if (v := self.recent.get(k)) is not None}
+            self.recent.update(known)
+        return self.recent
 
 
 def blocks(batches, column: str, limit: int = BLOCK_BYTES):
@@ -102,3 +113,4 @@ def blocks(batches, column: str, limit: int = BLOCK_BYTES):
             total += size
         if begin < len(sizes):
             yield batch.slice(begin)
+        release_memory()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bancalyt.llm.anchors import HOT, Sieve, counted_windows, keyed, recurring, with_spans
-from bancalyt.llm.common import as_bytes, blocks, materialize, workers_find_package
+from bancalyt.llm.common import as_bytes, blocks, materialize, release_memory, workers_find_package
 from bancalyt.llm.rolling import Prefix, mix, window_anchors, words_of
 
 WINDOW = 35
@@ -28,7 +28,7 @@ WIDTH = 24
 #: words whose hash orders the places
 GRAM = 4
 #: stretches that one automaton is built for (a key's stretches stay together)
-SHARD = 20_000
+SHARD = 10_000
 
 
 class Anchored:
@@ -91,7 +91,7 @@ def _shard_spans(stretches: list[bytes]) -> list[list[tuple[int, int]]]:
     numbers = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in s.split(b" ")], np.int64) for s in distinct]
     found = passages(numbers, np.bincount(which))
     if not found:
-        return [[]] * len(stretches)
+        return [[] for _ in stretches]
     spans = locate(found, numbers)
     return [spans[i] for i in which]
 
@@ -140,6 +140,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
             out = [(h[2], h[3], h[4] + a, h[4] + b) for h, found in zip(held, spans, strict=False) for a, b in found]
             del held[:until]
             columns = list(zip(*out, strict=True)) if out else [()] * 4
+            release_memory()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["dk", "dk2", "begin", "end"])
 
         for batch in batches:
@@ -199,7 +200,6 @@ def report(docs: DataFrame) -> DataFrame:
     repeated rows are copies of each other, so that all their windows go; rows
     without doc_id count too."""
     docs = docs.select("doc_id", "text")
-    some, others = with_spans(docs, removed_spans(docs))
 
     def spans_of(batch):
         at = batch.schema.get_field_index("_spans")
@@ -213,8 +213,8 @@ def report(docs: DataFrame) -> DataFrame:
                  pa.array([hashlib.sha256(b" ".join(x[0])).hexdigest() for x in found])],
                 ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return some.mapInArrow(run, schema).unionByName(others.mapInArrow(run, schema))
+    some, others = with_spans(docs, removed_spans(docs), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return some.unionByName(others)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -231,3 +231,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     changed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans"))
     return some.withColumn("text", changed).select(*columns).unionByName(others)
+
+
+def oracle(source: str) -> str:
+    """DuckDB SQL of ``report``: every window as text, counted over all rows."""
+    frame = f"(PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM {source}),
+words AS (SELECT id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM docs),
+windows AS (SELECT id, i, word, count(*) OVER {frame} AS n, md5(string_agg(word, ' ') OVER {frame}) AS h FROM words),
+marked AS (SELECT id, i, word, n = {WINDOW} AND count(*) OVER (PARTITION BY h, n) > 1 AS recurs FROM windows),
+kept AS (SELECT id, i, word, bool_or(recurs) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone FROM marked),
+per AS (SELECT id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+               string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS rest FROM kept GROUP BY id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN per USING (id)
+"""

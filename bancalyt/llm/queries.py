@@ -56,6 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_token_store, op2_ann_tree, op3_bpe, op4_phrases, op5_html_layout, op6_quality, op7_token_spans, op8_suffix_dedup, op9_mixing, op10_simhash)}
 
 ORACLE_SQL = {
+    "op4_phrases": phrases.oracle("documents"),
     "op6_quality": quality.oracle("documents"),
     "op9_mixing": mixing.ORACLE.format(documents="documents"),
 }

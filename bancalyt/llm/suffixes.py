@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bancalyt.llm.anchors import HOT, Sieve, counted_windows, keyed, recurring, with_spans
-from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, materialize, workers_find_package
+from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, materialize, release_memory, workers_find_package
 from bancalyt.llm.rolling import BYTE_VALUES, Prefix, mix, window_anchors
 
 WINDOW = 400
@@ -32,7 +32,7 @@ WIDTH = 256
 #: bytes whose hash orders the positions
 GRAM = 16
 #: suffixes of one sorted run, and of one merged range on average
-RUN = 1 << 16
+RUN = 1 << 15
 RANGE = 1 << 14
 #: copies of a passage that are cut to suffixes in one task, on average
 COPIES = 500
@@ -288,6 +288,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
                     yield target, Run.pack(entries[begin:end])
                 begin = end
             entries.clear()
+            release_memory()
 
         def rows_of(pieces):
             targets, blobs = zip(*pieces, strict=True)
@@ -309,6 +310,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
         def flush():
             found = _spans([Run(b) for b in blobs])
+            release_memory()
             return pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], list(found))
 
         for batch in batches:
@@ -374,7 +376,6 @@ def report(docs: DataFrame) -> DataFrame:
     A null text is empty; repeated rows are copies of each other, so that all
     their strings of 400 bytes or more go; rows without doc_id count too."""
     docs = docs.select("doc_id", "text")
-    some, others = with_spans(docs, removed_spans(docs))
 
     def spans_of(batch):
         at = batch.schema.get_field_index("_spans")
@@ -389,8 +390,8 @@ def report(docs: DataFrame) -> DataFrame:
                  pa.array([x[2] for x in found], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in found])],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return some.mapInArrow(run, schema).unionByName(others.mapInArrow(run, schema))
+    some, others = with_spans(docs, removed_spans(docs), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return some.unionByName(others)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ class Offsets:
         return self.all_spans([text])[0]
 
     def all_spans(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [self._spans(t, ids) for t, ids in zip(texts, self.encoder.encode_all(texts), strict=True)]
+        return [self._spans(t, ids) for t, ids in zip(texts, self.encoder.encode_all([t.encode() for t in texts]), strict=True)]
 
     def _spans(self, text: str, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum(self.encoder.sizes[np.frombuffer(ids, "<u4")])

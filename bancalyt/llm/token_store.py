@@ -24,7 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bancalyt.llm.common import Table, blocks, new_path, workers_find_package
+from bancalyt.llm.common import Table, as_bytes, blocks, new_path, workers_find_package
+from bancalyt.llm.rolling import BYTE_VALUES, Prefix, join_texts
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -35,24 +36,53 @@ DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 #: compressed bytes at which a shard is closed
 SHARD_BYTES = 4 << 20
-RUN_TABLE = 250_000
+RUN_TABLE = 600_000
 
 SHARD = ("part int, shard int, dict_sha256 string, n_docs long, n_ids long, doc_ids array<long>, "
          "offsets array<long>, lengths array<long>, counts array<long>, frames binary")
 
-#: Unicode white space as the tokenizer's pattern knows it
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: white space beyond ASCII, and bytes without which a text has none of it
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_WIDE_LEADS = (b"\xc2", b"\xe1", b"\xe2", b"\xe3")
+
+
+def white_space_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text number of the runs of joined texts (one byte between
+    two texts) at which the byte-level pattern splits in any case: a word with
+    one space before it; of other white space before a word all but its last
+    character, and that one; white space at the end of a text."""
+    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    inside = np.ones(len(data) + 1, bool)
+    inside[end] = False
+    word = np.append(~space, False) & inside
+    blank = np.append(space, False) & inside
+    before = np.zeros_like(word)  # the byte before belongs to the same text
+    before[1:] = inside[:-1]
+    last = np.zeros_like(word)  # the last white space before a word
+    last[:-1] = blank[:-1] & word[1:]
+    opens = blank.copy()  # the first of some white space
+    opens[1:] &= ~blank[:-1]
+    plain = np.zeros_like(word)
+    plain[1:] = np.append(data == 0x20, False)[:-1] & blank[:-1]
+    first = word.copy()  # the first byte of a word
+    first[1:] &= ~word[:-1]
+    starts = np.flatnonzero((first & ~plain) | last | opens)
+    owner = np.searchsorted(begin, starts, "right") - 1
+    stops = np.minimum(np.append(starts[1:], len(data)), end[owner])
+    return starts, stops, owner
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers.
 
     The tokenizer splits at white space before it merges, one space staying
-    with what follows; such runs are encoded by the library once and their
-    ids kept in a bounded table. A text that holds one of the file's added
-    tokens goes through the library whole."""
+    with what follows. The runs of a block of texts are told apart by rolling
+    hashes; each distinct one is looked up in a bounded table, and encoded by
+    the library if it is new. A text with one of the file's added tokens, or
+    with white space beyond ASCII, goes through the library whole."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -61,24 +91,70 @@ class Encoder:
         kind = spec["pre_tokenizer"]
         if spec["normalizer"] is not None or kind["type"] != "ByteLevel" or kind["add_prefix_space"] or not kind["use_regex"]:
             raise ValueError("runs are encoded apart for plain byte-level files only")
-        self.added = [t["content"] for t in spec["added_tokens"]]
-        self.pattern = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+        self.added = [t["content"].encode() for t in spec["added_tokens"]]
+        # bytes of each token: a byte-level vocabulary spells every byte as one symbol
+        sizes = {i: len(s) for s, i in spec["model"]["vocab"].items()} | {t["id"]: len(t["content"].encode()) for t in spec["added_tokens"]}
+        self.sizes = np.zeros(max(sizes) + 1, np.int64)
+        self.sizes[list(sizes)] = list(sizes.values())
         self.runs = Table(RUN_TABLE)
 
     def encode(self, text: str) -> bytes:
-        if any(t in text for t in self.added):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        runs = self.pattern.findall(text)
+        return self.encode_all([text.encode()])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, given in UTF-8."""
+        whole = [any(t in text for t in self.added) or any(x in text for x in _WIDE_LEADS) and _WIDE_SPACE.search(text) is not None
+                 for text in texts]
+        out = [b""] * len(texts)
+        plain = [i for i, w in enumerate(whole) if not w]
+        for i, ids in zip(plain, self._encode_plain([texts[i] for i in plain]), strict=True):
+            out[i] = ids
+        for i, w in enumerate(whole):
+            if w:
+                out[i] = np.array(self.library.encode(texts[i].decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
+        data, begin, end = join_texts(texts)
+        starts, stops, owner = white_space_runs(data, begin, end)
+        if not len(starts):
+            return [b""] * len(texts)
+        _, first, which = np.unique(Prefix(BYTE_VALUES[data]).hashes(starts, stops), return_index=True, return_inverse=True)
+        joined = data.tobytes()
+        runs = [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
         found = list(map(self.runs.recent.get, runs))
         if None in found:
-            missing = {r: self.runs.past.get(r) for r, f in zip(runs, found, strict=True) if f is None}
-            new = [r for r, f in missing.items() if f is None]
-            for run, ids in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                missing[run] = np.array(ids.ids, "<u4").tobytes()
-            for run, ids in missing.items():
-                self.runs.put(run, ids)
-            found = [missing[r] if f is None else f for r, f in zip(runs, found, strict=True)]
-        return b"".join(found)
+            table = self.runs.holding({r for r, f in zip(runs, found, strict=True) if f is None}, self._ids)
+            found = [table[r] if f is None else f for r, f in zip(runs, found, strict=True)]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        offset = (np.cumsum(counts) - counts)[which]
+        counts = counts[which]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(offset - total[:-1], counts) + np.arange(total[-1])]
+        cut = total[np.searchsorted(owner, np.arange(len(texts) + 1))].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+
+    def _ids(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each run. Words with one space before them are encoded
+        many at a time, as the text that they make end to end (it is split
+        before every such space), and the ids are told apart by their bytes."""
+        out: dict[bytes, bytes] = {}
+        words = [r for r in runs if len(r) > 1 and r[0] == 0x20 and not r[1:2].isspace()]
+        groups = [words[i:i + 256] for i in range(0, len(words), 256)]
+        found = self.library.encode_batch_fast([b"".join(g).decode() for g in groups], add_special_tokens=False)
+        for group, one in zip(groups, found, strict=True):
+            ids = np.array(one.ids, "<u4")
+            ends = np.cumsum(self.sizes[ids])
+            stops = np.searchsorted(ends, np.cumsum(list(map(len, group)))) + 1
+            data, begin = ids.tobytes(), 0
+            for word, stop in zip(group, (4 * stops).tolist(), strict=True):
+                out[word] = data[begin:stop]
+                begin = stop
+        others = [r for r in runs if r not in out]
+        for run, one in zip(others, self.library.encode_batch_fast([r.decode() for r in others], add_special_tokens=False), strict=True):
+            out[run] = np.array(one.ids, "<u4").tobytes()
+        return [out[r] for r in runs]
 
 
 @functools.lru_cache(maxsize=2)
@@ -101,12 +177,13 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 def train(docs: DataFrame, tokenizer: str = TOKENIZER) -> bytes:
     """The shared dictionary, from at most TRAIN_DOCS texts of at most
-    TRAIN_BYTES bytes, taken by the hash of their ids and texts; empty if there
+    TRAIN_BYTES bytes, taken by the hash of their ids; empty if there
     is too little to train on."""
-    size = F.octet_length("text")
-    rows = (docs.where((size > 0) & (size <= TRAIN_BYTES)).select("text", F.xxhash64("doc_id", "text").alias("h"))
-            .orderBy("h").limit(TRAIN_DOCS).collect())
-    samples = [load(tokenizer).encode(r.text) for r in rows]
+    size, h = F.octet_length("text"), F.xxhash64("doc_id")
+    # hashes alone first: texts leave the tasks only for the sample
+    last = docs.select(h.alias("h")).orderBy("h").limit(TRAIN_DOCS).agg(F.max("h")).first()[0]
+    rows = [] if last is None else docs.where((h <= last) & (size > 0) & (size <= TRAIN_BYTES)).select("text").limit(TRAIN_DOCS).collect()
+    samples = load(tokenizer).encode_all([r.text.encode() for r in rows])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -137,8 +214,8 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END
             return pa.RecordBatch.from_pylist([row], schema=_arrow_schema())
 
         for batch in blocks(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                data = own.encode(text or "") + last
+            for doc_id, data in zip(batch.column("doc_id").to_pylist(), own.encode_all(as_bytes(batch.column("text"))), strict=True):
+                data += last
                 frame = press.compress(data)
                 ids.append(doc_id)
                 offsets.append(total)

@@ -1,11 +1,12 @@
 """Suffix-array dedup and repeated-phrase automata against brute force."""
 
+import brute
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bancalyt.llm import phrases, suffixes
-import brute
 
 SCHEMA = "doc_id long, text string"
 
@@ -42,6 +43,13 @@ def test_phrases_in_many_small_shards(spark, rows, monkeypatch):
     assert brute.rows_by(phrases.report(frame(spark, rows)).collect()) == brute.without_phrases(rows, 35)
 
 
+def test_phrases_match_sql(spark, rows):
+    docs = frame(spark, rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    assert brute.rows_by(con.execute(phrases.oracle("documents")).fetchall()) == brute.without_phrases(rows, 35)
+
+
 def test_test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]

@@ -155,7 +155,7 @@ def test_short_documents_are_read_alone_and_dictionaries_are_checked(spark):
 def test_runs_encoded_together_equal_whole_texts():
     own, lib = token_store.load(token_store.TOKENIZER), library(token_store.TOKENIZER)
     some = [*ODD, *texts(7, 3000)]
-    for text, ids in zip(some, own.encode_all(some), strict=True):
+    for text, ids in zip(some, own.encode_all([t.encode() for t in some]), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
 
 
