@@ -237,9 +237,19 @@ def _render(node: Node, page: Page, pre: bool = False) -> None:
         _children(node, page, pre or tag == "textarea")
 
 
+def _wrapped(text: str, tag: str) -> Node:
+    node = Node(tag, {})
+    node.children.append(text)
+    return node
+
+
 def _rows(table: Node):
+    """Rows of a table, and whatever else it holds, as nodes."""
     for child in table.children:
-        if isinstance(child, Node) and not child.hidden():
+        if not isinstance(child, Node):
+            if not child.isspace():
+                yield _wrapped(child, "div")
+        elif not child.hidden():
             if child.tag in ("thead", "tbody", "tfoot"):
                 yield from _rows(child)
             else:
@@ -255,7 +265,11 @@ def _table(table: Node, page: Page) -> None:
             continue
         cells, column = [], 0
         for cell in row.children:
-            if isinstance(cell, Node) and not cell.hidden():
+            if not isinstance(cell, Node):
+                if cell.isspace():
+                    continue
+                cell = _wrapped(cell, "td")
+            if not cell.hidden():
                 own = Page()
                 (_children if cell.tag in ("td", "th") else _render)(cell, own, False)
                 own.end_line()

@@ -92,9 +92,9 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    columns = docs.columns
-    rows = mix(sized(docs)).where("_copies > 0")
-    return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)
+    held = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
+    rows = mix(sized(held).drop("text")).where("_copies > 0")
+    return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")
 
 
 ORACLE = """

@@ -35,8 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids of every document, and what the ids decode to."""
-    ids = bpe.encode(docs, carry=["doc_id", "source"])
-    return bpe.decode(ids, carry=["doc_id", "source", "n_tokens", "ids"])
+    return bpe.encode(docs, carry=["doc_id", "source"], decoded=True)
 
 
 STAGES = [

@@ -44,14 +44,14 @@ def test_quality_on_the_test_table(spark):
 
 def test_quality_verdicts(spark):
     kept = {r.doc_id: r.kept for r in quality.report(docs(spark)).collect()}
-    assert kept == {1: False, 2: False, 3: False, 4: False, 5: True, 6: False, None: True, 7: False, 8: True, 9: False}
+    assert kept == {1: False, 2: False, 3: False, 4: False, 5: True, 6: False, None: False, 7: False, 8: True, 9: False}
 
 
 def test_accepted_rows_keep_their_columns(spark):
     table = docs(spark)
     out = quality.accepted(table)
-    assert out.columns == table.columns and by(r.doc_id for r in out.select("doc_id").collect()) is not None
-    assert sorted(str(r.doc_id) for r in out.collect()) == ["5", "8", "None"]
+    assert out.columns == table.columns
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["5", "8"]
 
 
 def test_quality_of_an_empty_table(spark):
@@ -133,7 +133,7 @@ PAGES = {
     "<head><title>no</title><body>yes": "yes",
     "<p hidden>no</p><p style='Display : none'>no<p style=\"visibility:hidden\">no<p>yes<span hidden>no</span>": "yes",
     "<table><tr><th>name<th>n<tr><td>long name<td>1<tr><td>b<td>22</table>": "name       n\nlong name  1\nb          22",
-    "<table><td>a<td>b</table>": "a  b",
+    "<table><td>a<td>b</table>": "a  b", "<table>x<tr>y<td>z</table>": "x\ny  z",
     "<table><tr><td>a<br>b<td>c</table>": "a  c\nb",
     "<pre>a  b\n  c</pre>d": "a  b\n  c\n\nd",
     "<blockquote>q</blockquote><dl><dt>t<dd>d</dl>": "  q\n\nt\n  d",
@@ -149,7 +149,7 @@ def test_layout(page):
 
 def test_layout_of_deep_and_of_unclosed_pages():
     assert html_layout.visible_text("<div>" * 20_000 + "deep") == "deep"
-    assert html_layout.visible_text("<b" * 2_000).startswith("") and html_layout.visible_text("<table>" * 300 + "x").strip() == "x"
+    assert html_layout.visible_text("<b" * 2_000) == "" and html_layout.visible_text("<table>" * 300 + "x").strip() == "x"
 
 
 def test_layout_rows(spark):
