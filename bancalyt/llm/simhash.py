@@ -110,29 +110,36 @@ def anchored(fps: DataFrame) -> DataFrame:
             .select((F.col("bits").bitwiseXOR(F.col("flips")) + F.col("half") * F.lit(1 << 32)).alias("anchor"), "fp", "home"))
 
 
-def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that join what is within ``max_bits``: ``left`` against ``right``,
-    fewer links than fingerprints. Blocks bound the memory; a fingerprint that
-    already shares the root of a ``left`` one adds no link."""
-    parent: dict[int, int] = {}
+def _near(left: np.ndarray, right: np.ndarray, max_bits: int) -> np.ndarray:
+    # unsigned: numpy counts the bits of a signed number's absolute value
+    return np.bitwise_count((left[:, None] ^ right[None, :]).view(np.uint64)) <= max_bits
 
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
 
-    out = []
-    step = max(1, (1 << 21) // max(1, len(right)))
+def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+    """Links that join what is within ``max_bits``: ``left`` against ``right``,
+    of which it is a part; fewer links than fingerprints. Blocks bound the
+    memory, and a group that has become one is not compared any further."""
+    label = np.arange(len(right))
+    order = np.argsort(right)
+    place = order[np.searchsorted(right[order], left)]
+    out, parts = [], len(right)
+    step = max(1, (1 << 21) // len(right))
     for i in range(0, len(left), step):
-        block = left[i:i + step]
-        # unsigned: numpy counts the bits of a signed number's absolute value
-        near = np.bitwise_count((block[:, None] ^ right[None, :]).view(np.uint64)) <= max_bits
-        rows, cols = np.nonzero(near & (block[:, None] != right[None, :]))
-        for f, g in zip(block[rows].tolist(), right[cols].tolist(), strict=True):
-            a, b = root(f), root(g)
-            if a != b:
-                parent[a] = b
-                out.append((f, g))
+        if parts == 1:
+            break
+        near = _near(left[i:i + step], right, max_bits)
+        near[np.arange(len(near)), place[i:i + step]] = False
+        for k in np.flatnonzero(near.any(axis=1)).tolist():
+            own = place[i + k]
+            met = np.flatnonzero(near[k])
+            labels, first = np.unique(label[met], return_index=True)
+            for other, at in zip(labels.tolist(), met[first].tolist(), strict=True):
+                if other != label[own]:
+                    out.append((int(right[own]), int(right[at])))
+                    label[label == other] = label[own]
+                    parts -= 1
+            if parts == 1:
+                break
     return out
 
 

@@ -49,6 +49,29 @@ def test_components(spark, monkeypatch, block):
     assert [found.get(x, x) for x in rows] == want
 
 
+@pytest.mark.parametrize("count", [2, 40, 3000])
+def test_forest_joins_what_all_pairs_join(count):
+    pick = np.random.default_rng(count)
+    base = pick.integers(-2**63, 2**63, 3, dtype=np.int64)
+    flips = np.int64(1) << pick.integers(0, 63, (count, 3), dtype=np.int64)
+    fps = np.unique(base[pick.integers(0, 3, count)] ^ np.bitwise_xor.reduce(flips, axis=1) ^ np.where(pick.random(count) < 0.3, np.int64(-2**63), 0))
+    links = simhash._forest(fps[::2], fps, 4)
+    assert len(links) < len(fps)
+    label = {x: x for x in fps.tolist()}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        assert bin((a ^ b) & (2**64 - 1)).count("1") <= 4
+        label[root(a)] = root(b)
+    near = simhash._near(fps[::2], fps, 4)
+    for i, f in enumerate(fps[::2].tolist()):
+        assert {root(x) for x in fps[near[i]].tolist()} == {root(f)}
+
+
 def test_long_chain_of_links(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {(r.node, r.root) for r in components.components(links).collect()} == {(i, 0) for i in range(301)}
