@@ -64,23 +64,25 @@ def mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataF
     Null sources are one source of their own, the last; wordless documents are
     as free as their size and follow the epochs; rows with equal keys stand
     next to one another in either order (they are equal in id and size)."""
-    ranges = materialize(
-        rows.groupBy("source", F.substring("_key", 1, RANGE_DIGITS).alias("_range")).agg(F.sum("_size").alias("words")), "mix-ranges")
+    # non-null names of source and range: windows and join share one shuffle of the rows
+    place = ["_source", "_no_source", "_range"]
+    rows = rows.withColumns({"_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_no_source": F.col("source").isNull(),
+                             "_range": F.substring("_key", 1, RANGE_DIGITS)})
+    ranges = materialize(rows.groupBy("source", *place).agg(F.sum("_size").alias("words")), "mix-ranges")
     totals = ranges.groupBy("source").agg(F.sum("words").alias("source_size"))
     plan = targets(totals, weights, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("epochs", F.least(epochs, F.lit(max_epochs))).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     ahead = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(F.col("source").alias("s"), F.col("_range").alias("g"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("_ahead"))
+    ranges = ranges.select(F.col("source").alias("s"), *place, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("_ahead"))
     plan = plan.select(F.col("source").alias("s2"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "epochs", "rest")
-    ranges = materialize(ranges.join(plan, F.col("s").eqNullSafe(F.col("s2"))).drop("s2"), "mix-plan")
-    within = Window.partitionBy("source", "_range").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (rows.withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
-              .withColumn("_within", F.coalesce(F.sum("_size").over(within), F.lit(0))))
+    ranges = materialize(ranges.join(plan, F.col("s").eqNullSafe(F.col("s2"))).drop("s", "s2"), "mix-plan")
+    within = Window.partitionBy(*place).orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_within", F.coalesce(F.sum("_size").over(within), F.lit(0)))
     middle = F.col("_ahead") + F.col("_within") + F.col("_size") / F.lit(2.0)
     copies = (F.col("epochs") + F.when((F.col("rest") > 0) & (middle <= F.col("rest")), 1).otherwise(0)).cast("int")
-    return (placed.join(ranges, F.col("source").eqNullSafe(F.col("s")) & (F.col("_range") == F.col("g")))
-            .withColumn("_copies", copies).drop("s", "g", "_range", "_ahead", "_within", "epochs", "rest"))
+    return (placed.join(ranges, place).withColumn("_copies", copies)
+            .drop(*place, "_ahead", "_within", "epochs", "rest"))
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
