@@ -36,8 +36,10 @@ RUN = 1 << 15
 RANGE = 1 << 14
 #: copies of a passage that are cut to suffixes in one task, on average
 COPIES = 500
-#: bytes by which ranges are cut, and one key in how many gives a sample of them
-CUT = 24
+#: bytes by which ranges are cut: those of a key, so that a cut parts any two keys
+#: but never one key's suffixes; and one recurring anchor in how many gives a
+#: sample of them (anchors, not keys: a key counts as often as it occurs)
+CUT = WINDOW - WIDTH + 1
 SAMPLE = 64
 MAX_SAMPLE = 100_000
 
@@ -252,7 +254,8 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
         for batch in blocks(batches, "text"):
             texts = as_bytes(batch.column("text"))
             found = Anchored(texts)
-            sample = (mix(found.key.view(np.uint64)) % np.uint64(SAMPLE)) == 0
+            row = batch.column("dk").to_numpy().view(np.uint64)[found.text]
+            sample = (mix(found.key.view(np.uint64) ^ mix(row + found.at.astype(np.uint64))) % np.uint64(SAMPLE)) == 0
             cut = [texts[t][a:a + CUT] if s else None for t, a, s in zip(found.text.tolist(), found.at.tolist(), sample.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.key), batch.column("dk").take(pa.array(found.text)), pa.array(found.at), pa.array(cut, pa.binary())],

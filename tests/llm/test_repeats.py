@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bancalyt.llm import phrases, suffixes
+from bancalyt.llm.rolling import BYTE_VALUES, Prefix
 
 SCHEMA = "doc_id long, text string"
 
@@ -32,6 +33,33 @@ def test_strings_in_many_small_ranges_and_runs(spark, rows, monkeypatch):
     assert brute.rows_by(suffixes.report(frame(spark, rows)).collect()) == brute.without_strings(rows, 400)
 
 
+def common_phrase(pick) -> str:
+    """A phrase of 40 bytes whose first 16 have a low hash: wherever it stands, it is the anchor."""
+    data = pick.integers(97, 123, 2_000_000).astype(np.uint8)
+    at = int(Prefix(BYTE_VALUES[data]).grams(suffixes.GRAM)[:-40].argmin())
+    return bytes(data[at:at + 40]).decode()
+
+
+# many small keys behind one phrase; and few keys with many occurrences each
+@pytest.mark.parametrize(("keys", "copies", "one_in", "average", "bound"), [(200, 3, 2, 30, 150), (40, 30, 16, 100, 350)])
+def test_ranges_part_between_keys(spark, monkeypatch, keys, copies, one_in, average, bound):
+    pick = np.random.default_rng(11)
+    letters = lambda n: bytes(pick.integers(97, 123, n).tolist()).decode()
+    phrase, tails = common_phrase(pick), [letters(500) for _ in range(keys)]
+    rows = [(i, letters(300) + phrase + tails[i % keys]) for i in range(keys * copies)]
+    spans = suffixes._spans
+
+    def bounded(runs):
+        size = sum(r.size for r in runs)
+        if size > bound:
+            raise ValueError(f"a range of {size} suffixes")
+        return spans(runs)
+
+    for name, value in (("_spans", bounded), ("RANGE", average), ("RUN", 200), ("SAMPLE", one_in)):
+        monkeypatch.setattr(suffixes, name, value)
+    assert brute.rows_by(suffixes.report(frame(spark, rows)).collect()) == brute.without_strings(rows, 400)
+
+
 @pytest.mark.parametrize("hot", [20_000, 3])
 def test_phrases(spark, rows, monkeypatch, hot):
     monkeypatch.setattr(phrases, "removed_spans", lambda docs, f=phrases.removed_spans: f(docs, hot))
