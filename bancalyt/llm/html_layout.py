@@ -3,6 +3,13 @@
 A tree builder closes and opens tags that HTML implies; rendering follows
 visibility rules, keeps blocks apart (a blank line where a browser has a
 margin), marks list items, keeps preformatted text, and aligns table cells.
+
+Formulas (MathML) are put out as their tokens in order, a space apart; of
+drawings (SVG) the texts, a space apart, and the HTML in foreignObject. Text of a
+drawing that shows only where <use> refers to it is left out.
+
+A quote opens an attribute's value only right after its "="; where it is never
+closed it is an ordinary character, so that the rest of the page stays.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from bancalyt.llm.common import blocks, workers_find_package
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements whose content is text up to their end tag; the first two are never shown
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas svg math".split())
+HIDDEN = frozenset("head script style title template noscript iframe noembed noframes datalist object audio video canvas".split())
 IN_HEAD = frozenset("head base link meta noscript script style template title".split())
 #: blocks with a margin, and those that only begin a new line
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu table pre blockquote figure fieldset hr xmp".split())
@@ -37,6 +44,16 @@ IMPLIED = {
     "th": (frozenset("td th".split()), frozenset("tr table".split())),
     **{t: (_ROWS | _SECTIONS, frozenset(["table"])) for t in ("thead", "tbody", "tfoot", "caption", "colgroup")},
 }
+#: parts of a drawing that are not drawn where they stand, and of a formula
+UNDRAWN = frozenset("defs symbol clippath mask marker pattern lineargradient radialgradient filter desc metadata".split())
+UNSET = frozenset("annotation annotation-xml mphantom".split())
+FORMULA_TOKENS = frozenset("mi mo mn ms mtext".split())
+#: elements of which only the first child shows
+FIRST_ONLY = frozenset("switch semantics maction".split())
+#: elements of formulas and drawings that hold HTML, and tags of HTML that end a formula or drawing elsewhere
+HOLDS_HTML = FORMULA_TOKENS | frozenset("foreignobject desc annotation-xml".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                       "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: an end tag or an implied end does not reach beyond these
 SCOPE = frozenset("table td th caption html button object template".split())
 #: elements nested deeper become siblings, as browsers do
@@ -44,8 +61,11 @@ DEPTH = 200
 #: a cell is padded to its column's width, to this many characters at most
 PAD = 60
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+_VALUE = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"{0}[^\"]*+{1}\"|'{0}[^']*+{1}'|{0}[^ \t\n\r\f>]++{1})?+"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^ \t\n\r\f/>]*)"
+                    r"((?:[ \t\n\r\f/]++|" + _NAME + "(?:" + _VALUE.format("", "") + r")?+)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(f"({_NAME})(?:" + _VALUE.format("(", ")") + ")?+")
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
@@ -68,6 +88,11 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(_ATTRIBUTE.finditer(text)))}
 
 
+def _closes_itself(text: str) -> bool:
+    """Whether a tag's attributes end with a slash that is not part of a value."""
+    return text.endswith("/") and max((m.end() for m in _ATTRIBUTE.finditer(text)), default=0) < len(text)
+
+
 def parse(page: str) -> Node:
     """The tree of a page."""
     root = Node("html", {})
@@ -88,12 +113,26 @@ def parse(page: str) -> Node:
                 stack.pop()
             stack[-1].children.append(html.unescape(text) if "&" in text else text)
 
-    place = 0
+    def inside() -> int:
+        """The place in the stack of the innermost formula or drawing whose own content is open, or 0."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag in ("svg", "math"):
+                return i
+            if stack[i].tag in HOLDS_HTML:
+                return 0
+        return 0
+
+    place, foreign = 0, False  # no formula or drawing was met so far
     while match := _TOKEN.search(page, place):
         add_text(page[place:match.start()])
         place = match.end()
         tag = (match[2] or "").lower()
         if not tag:
+            if foreign and page.startswith("<![CDATA[", match.start()) and inside():
+                close = page.find("]]>", match.start())
+                close = len(page) if close < 0 else close
+                stack[-1].children.append(page[match.start() + 9:close])
+                place = min(close + 3, len(page))
             continue
         if match[1]:
             if tag == "p" and not any(n.tag == "p" for n in stack):
@@ -106,6 +145,10 @@ def parse(page: str) -> Node:
         if tag == "html":
             root.attributes = _attributes(match[3]) or root.attributes
             continue
+        if foreign and tag in BREAKS_OUT:
+            while at := inside():
+                del stack[at:]
+        own = foreign and inside() > 0
         if stack[-1].tag == "head" and tag not in IN_HEAD:
             stack.pop()
         if tag in ENDS_P:
@@ -123,6 +166,9 @@ def parse(page: str) -> Node:
                 stack.append(row)
         node = Node(tag, _attributes(match[3].rstrip("/")))
         stack[-1].children.append(node)
+        foreign = foreign or tag in ("svg", "math")
+        if (own or tag in ("svg", "math")) and _closes_itself(match[3]):
+            continue
         if tag in RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>|\\Z", re.I).search(page, place)
             if tag not in HIDDEN:
@@ -153,6 +199,12 @@ class Page:
             self.parts.append(text)
             self.at_space = text[-1] == " "
 
+    def apart(self) -> None:
+        """What follows is a word of its own."""
+        if self.parts and self.parts[-1][-1:] not in ("", " "):
+            self.parts.append(" ")
+        self.at_space = True
+
     def line(self, text: str) -> None:
         if self.gap and self.lines:
             self.lines.append("")
@@ -194,6 +246,17 @@ def _render(node: Node, page: Page, pre: bool = False) -> None:
         return
     if tag == "br":
         page.end_line(forced=True)
+    elif tag == "svg":
+        _drawing(node, page)
+    elif tag == "math":
+        block = node.attributes.get("display", "").lower() == "block"
+        if block:
+            page.block(False)
+        elif pre:
+            page.at_space = False
+        _formula(node, page, False)
+        if block:
+            page.block(False)
     elif tag == "table":
         page.block(True)
         _table(node, page)
@@ -237,6 +300,59 @@ def _render(node: Node, page: Page, pre: bool = False) -> None:
         _children(node, page, pre or tag == "textarea")
 
 
+def _parts(node: Node) -> list:
+    """The children of a part of a formula or drawing that may show."""
+    if node.tag in FIRST_ONLY:
+        return [c for c in node.children if isinstance(c, Node)][:1]
+    return node.children
+
+
+def _undrawn(node: Node) -> bool:
+    a = node.attributes
+    return node.tag in UNDRAWN or node.hidden() or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
+
+
+def _drawing(node: Node, page: Page) -> None:
+    """The texts of a drawing, and HTML in it."""
+    for child in _parts(node):
+        if not isinstance(child, Node) or _undrawn(child):
+            continue
+        if child.tag in ("text", "foreignobject"):
+            page.apart()
+            (_drawn_text if child.tag == "text" else _children)(child, page, False)
+            page.apart()
+        else:
+            _drawing(child, page)
+
+
+def _drawn_text(node: Node, page: Page, pre: bool) -> None:
+    for child in node.children:
+        if not isinstance(child, Node):
+            page.text(child)
+        elif not _undrawn(child):
+            if "x" in child.attributes or "y" in child.attributes:  # at a place of its own
+                page.apart()
+            _drawn_text(child, page, pre)
+
+
+def _formula(node: Node, page: Page, begun: bool) -> bool:
+    """The tokens of a formula; ``begun``, and returned, whether one was put out."""
+    for child in _parts(node):
+        if isinstance(child, Node) and (child.tag in UNSET or child.hidden()):
+            continue
+        if isinstance(child, Node) and child.tag not in FORMULA_TOKENS:
+            begun = _formula(child, page, begun)
+        elif isinstance(child, Node) or not child.isspace():
+            if begun:
+                page.apart()
+            if isinstance(child, Node):
+                _children(child, page, False)
+            else:
+                page.text(child)
+            begun = True
+    return begun
+
+
 def _wrapped(text: str, tag: str) -> Node:
     node = Node(tag, {})
     node.children.append(text)

@@ -139,6 +139,15 @@ PAGES = {
     "<blockquote>q</blockquote><dl><dt>t<dd>d</dl>": "  q\n\nt\n  d",
     "a\n\n  b\tc": "a b c", "<p>a</i></b></p>b": "a\n\nb", "<a href='x>y'>l</a>": "l", "é日本<hr>x": "é日本\n\n---\n\nx",
     "<select><option>a<option>b</select>": "a\nb", "<script>never closed <p>x": "", "<textarea><b>t</b></textarea>": "<b>t</b>",
+    "<div title=it's>Hello all</div><p>we don't know</p><p>end</p>": "Hello all\n\nwe don't know\n\nend",
+    '<a href="x"">one</a><p>two</p><b class="y"">three</b><p>four</p>': "one\n\ntwo\n\nthree\n\nfour",
+    """<a b' c = "d>'" e=f"g'>one</a> <i title=a"hidden>two</i> it's <a x='>'y=">">three</a '>""": "one two it's three",
+    '<p>a<p title="never closed>b</p><p>it\'s': "a\n\nb\n\nit's", '<a href= >a</a><a =">">b</a>': 'a">b',
+    "so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn> 2 </mn></mfrac></math>, then": "so x = 1 2 , then",
+    "<math><semantics><mrow><mi>a</mi><mspace/><mtext>is <b>b</b></mtext></mrow><annotation>no</annotation></semantics></math>": "a is b",
+    "a<svg><title/><style/><defs><text>no</text></defs><rect/><g><text x=1>b<tspan>c</tspan><tspan x=2>d</tspan></text><path d='M'/></g>no</svg>e": "a bc d e",
+    "<svg><foreignObject><div>a</div></foreignObject><text>b<![CDATA[ < c]]></text><text display=none>no</text></svg>": "a\nb < c",
+    "<svg><circle/>no<p>shown": "shown", "<svg/>a<math/>b": "ab", "x<svg><title>no</title><path/></svg>y": "xy",
 }
 
 
