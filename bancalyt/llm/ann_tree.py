@@ -37,6 +37,8 @@ REACH = 0.5
 #: are dealt together, and a leaf with more vectors to several tasks
 TASK_ITEMS = 1 << 13
 TASK_QUERIES = 1 << 16
+#: pairs of vectors that are multiplied at once
+PAIRS = 1 << 14
 
 
 class Tree:
@@ -188,7 +190,8 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int64()), pa.array(leaf * groups // tree.leaves, pa.int64())],
                                              [*batch.schema.names, "leaf", "grp"])
 
-    filed = (items.select("item", "v").mapInArrow(file, "item long, v array<double>, leaf long, grp long")
+    least = F.col("ids")[0].alias("least")
+    filed = (items.select("item", "v", least).mapInArrow(file, "item long, v array<double>, least long, leaf long, grp long")
              .withColumn("part", F.pmod("item", F.lit(parts)))
              .withColumn("qpart", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_parts - 1).cast("long")))))
 
@@ -213,12 +216,15 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
               .withColumn("qpart", F.pmod("q", F.lit(query_parts))))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The nearest items of each query among the leaves that it visits."""
-        schema = pa.schema([("q", pa.int64()), ("item", pa.int64()), ("score", pa.float64())])
+        """The nearest items of each query among the leaves that it visits, ties to the smaller vec_id."""
+        schema = pa.schema([("q", pa.int64()), ("item", pa.int64()), ("least", pa.int64()), ("score", pa.float64())])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         queries, own = _matrix(left.column("v")), _matrix(right.column("v"))
         q, item, leaf = left.column("q").to_numpy(), right.column("item").to_numpy(), right.column("leaf").to_numpy()
+        first = right.column("least").to_numpy()
+        # what the products below may differ by from sums in another order
+        slack = 4 * own.shape[1] * np.finfo(np.float64).eps * math.sqrt((own ** 2).sum(axis=1).max())
         members = {x: np.flatnonzero(leaf == x) for x in np.unique(leaf).tolist()}
         visited = left.column("leaves").to_pylist()
         out = []
@@ -233,17 +239,22 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
             score = np.full((len(some), len(own)), -np.inf)
             for x, row in visitors.items():
                 score[np.ix_(row, members[x])] = some[row] @ own[members[x]].T
-            best = np.argpartition(-score, k, axis=1)[:, :k + 1] if len(own) > k + 1 else np.tile(np.arange(len(own)), (len(some), 1))
-            seen = np.take_along_axis(score, best, axis=1) > -np.inf
+            bound = np.partition(score, -k - 1, axis=1)[:, -k - 1] if len(own) > k + 1 else np.full(len(some), -np.inf)
+            bound = bound - slack * np.sqrt((some ** 2).sum(axis=1))
+            row, best = np.nonzero((score >= bound[:, None]) & (score > -np.inf))
             # in one order of additions, so that equal vectors score equally
-            exact = (some[:, None, :] * own[best]).sum(axis=2)
-            out.append(pa.table([np.repeat(q[i:i + step], best.shape[1])[seen.ravel()], item[best].ravel()[seen.ravel()], exact.ravel()[seen.ravel()]], schema=schema))
+            exact = np.concatenate([np.zeros(0), *((some[row[j:j + PAIRS]] * own[best[j:j + PAIRS]]).sum(axis=1) for j in range(0, len(row), PAIRS))])
+            order = np.lexsort((first[best], -exact, row))
+            row, best, exact = row[order], best[order], exact[order]
+            kept = np.arange(len(row)) - np.searchsorted(row, row) <= k
+            best = best[kept]
+            out.append(pa.table([q[i:i + step][row[kept]], item[best], first[best], exact[kept]], schema=schema))
         return pa.concat_tables(out)
 
     keys = ["grp", "part", "qpart"]
     found = (probes.groupBy(*keys).cogroup(filed.groupBy(*keys))
-             .applyInArrow(compare, "q long, item long, score double"))
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "item")
+             .applyInArrow(compare, "q long, item long, least long, score double"))
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "least")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("q", "item", "score")
     listed = found.join(items.select("item", "ids"), "item").select("q", "score", F.explode("ids").alias("vec_id"))
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")

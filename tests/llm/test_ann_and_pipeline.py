@@ -39,6 +39,17 @@ def test_small_table_is_searched_whole(spark):
         np.testing.assert_allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-12)
 
 
+@pytest.mark.parametrize("task_items", [1 << 13, 40])
+def test_distinct_vectors_that_tie(spark, monkeypatch, task_items):
+    monkeypatch.setattr(ann_tree, "TASK_ITEMS", task_items)
+    monkeypatch.setattr(ann_tree, "LEAF", 500)  # one leaf: searched whole
+    every = [[float(x // 3 ** i % 3 - 1) for i in range(5)] for x in range(3 ** 5) if x != 121]
+    ids = np.random.default_rng(5).permutation(len(every)).tolist()
+    rows = list(zip(ids, every, strict=True))
+    got, want = found(ann_tree.neighbours(vectors(spark, rows), lambda c: c % 20 == 0).collect()), brute.nearest(rows, 20, 20)
+    assert got == want
+
+
 @pytest.mark.parametrize("rows", [[], [(0, None)], [(0, [1.0, 2.0])]])
 def test_nothing_to_find(spark, rows):
     assert ann_tree.neighbours(vectors(spark, rows), lambda c: c % 20 == 0).collect() == []
