@@ -11,9 +11,10 @@ presence follows from the steps at which gadgets took arcs away: along the
 label's chain of left parts (whose arcs it was added beside) and the state's
 chain of right parts (whose states it was copied from).
 
-Words are encoded by transitions from the start state: the state after each
-prefix is the target of its one accepted last label, so one pass over a word
-with lookups in the arc table finds its tokens. Decoding emits arc labels.
+Words are encoded by a search from the start state: the longest label whose arc
+leaves is tried first, with steps back where none does and a set of states found
+dead. Arcs are not compiled beforehand but worked out from the chains when first
+asked for, and remembered. Decoding emits arc labels.
 """
 
 from __future__ import annotations
