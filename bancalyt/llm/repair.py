@@ -35,6 +35,8 @@ from bancalyt.llm.common import materialize, workers_find_package
 #: rows of a chunk, and bytes of its texts, at most (a longer text alone)
 CHUNK = 32
 CHUNK_BYTES = 1 << 20
+#: characters by which texts of one turn and role are put in order, before their hashes
+BEGINNING = 100
 #: costs of the edits; an undeleted truncated row costs TRUNCATED more
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: states of the wanted sequence: nothing yet, after s, after u, after a
@@ -350,7 +352,8 @@ def planned(rows: DataFrame) -> DataFrame:
     """Chunks of all conversations (CHUNKS) with exits, entry, and what their borders
     add: illegal neighbours and turns counted twice. Written to the shared folder."""
     workers_find_package(rows.sparkSession)
-    order = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("h1")]
+    # the beginnings of texts, for the sampled cuts of the ranges go through the driver
+    order = [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("role"), F.substring("text", 1, BEGINNING), F.col("h1")]
     found = faulty(rows).repartitionByRange(*order).sortWithinPartitions(*order, "h2", "text")
     found = materialize(found.mapInArrow(chunks, CHUNKS), "chunks")
     small = found.where("not alone").drop("roles", "texts", "alone")
@@ -446,8 +449,8 @@ def report(rows: DataFrame, originals: DataFrame) -> DataFrame:
     from its rows in ``rows``; zeros, an empty audit and the hash of nothing where
     there are none.
 
-    Rows stand by turn (nulls first), ties by role and a hash of the text, equal
-    rows side by side. Nulls in role and text count as one space. Columns other
+    Rows stand by turn (nulls first), ties by role, then by the text's first
+    BEGINNING characters, then by its hash; equal rows stand side by side. Nulls in role and text count as one space. Columns other
     than conv_id, turn, role and text are not read."""
     found = materialize(_ending(planned(rows)).mapInArrow(_results, RESULTS), "repairs")
     sums = [F.sum(c).alias(c) for c in ("blank", "duplicate", "truncated", "illegal", "cost")]

@@ -132,5 +132,5 @@ def test_stages_on_odd_rows(spark):
 def test_registered_queries():
     names = entry.queries()
     assert [n for n in (*queries.QUERIES, "pipeline") if n not in names] == []
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(names)
