@@ -106,16 +106,16 @@ class Sieve:
         return rows.mapInArrow(lambda batches: then(keep(batches)), schema)
 
 
-def with_spans(docs: DataFrame, spans: DataFrame, then=None, schema=None) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` that may have spans, joined with _spans (null where
-    there are none), and the others; from (dk, dk2, spans). ``then`` maps the
-    batches of both."""
+def with_spans(docs: DataFrame, spans: DataFrame, then=None, schema=None, name: str = "_spans") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that may have spans, joined with their spans (column
+    ``name``, which ``docs`` lacks; null where there are none), and the others; from
+    (dk, dk2, spans). ``then`` maps the batches of both."""
     sieve = Sieve(spans)
     columns = docs.columns
     names = [f"_c{i}" for i in range(len(columns))]
     rows = docs.select(doc_key().alias("dk"), second_key().alias("dk2"), *[docs[c].alias(n) for c, n in zip(columns, names, strict=True)])
     back = [F.col(n).alias(c) for c, n in zip(columns, names, strict=True)]
-    joined = sieve.split(rows, True).join(spans.select("dk", "dk2", F.col("spans").alias("_spans")), ["dk", "dk2"], "left").select(*back, "_spans")
+    joined = sieve.split(rows, True).join(spans.select("dk", "dk2", F.col("spans").alias("_s")), ["dk", "dk2"], "left").select(*back, F.col("_s").alias(name))
     if then is None:
         return joined, sieve.split(rows, False).select(*back)
 

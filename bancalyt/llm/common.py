@@ -53,6 +53,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str = "_spans") -> str:
+    """``name``, longer by underscores until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def doc_key() -> Column:
     """A 64-bit key of a row (id and text), equal for repeated rows; null-safe."""
     return F.xxhash64(F.col("doc_id"), F.col("text"))

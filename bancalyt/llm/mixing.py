@@ -22,11 +22,13 @@ RANGE_DIGITS = 3
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``docs`` with _size (words of the text; null: 0) and _key (random by
-    hash of id and size, so that reruns agree)."""
+    """``docs`` with _size (words of the text; null: 0), _key (random by hash of id
+    and size) and _tie (a hash of the text, by which equal keys are put in order, so
+    that reruns agree)."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     return docs.withColumn("_size", size).withColumn(
-        "_key", F.md5(F.concat_ws(":", F.lit(SEED), F.col("doc_id").cast("string"), F.col("_size").cast("string"))))
+        "_key", F.md5(F.concat_ws(":", F.lit(SEED), F.col("doc_id").cast("string"), F.col("_size").cast("string")))).withColumn(
+        "_tie", F.xxhash64("text"))
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -62,8 +64,8 @@ def mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataF
     In the last, partial epoch a document is taken if at most half of it lies
     beyond the budget, so a source ends within half a document of its target.
     Null sources are one source of their own, the last; wordless documents are
-    as free as their size and follow the epochs; rows with equal keys stand
-    next to one another in either order (they are equal in id and size)."""
+    as free as their size and follow the epochs; rows of equal keys (equal in id
+    and size) stand by a hash of their texts."""
     # non-null names of source and range: windows and join share one shuffle of the rows
     place = ["_source", "_no_source", "_range"]
     rows = rows.withColumns({"_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_no_source": F.col("source").isNull(),
@@ -77,7 +79,7 @@ def mix(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataF
     ranges = ranges.select(F.col("source").alias("s"), *place, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("_ahead"))
     plan = plan.select(F.col("source").alias("s2"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), "epochs", "rest")
     ranges = materialize(ranges.join(plan, F.col("s").eqNullSafe(F.col("s2"))).drop("s", "s2"), "mix-plan")
-    within = Window.partitionBy(*place).orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*place).orderBy("_key", "_size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_within", F.coalesce(F.sum("_size").over(within), F.lit(0)))
     middle = F.col("_ahead") + F.col("_within") + F.col("_size") / F.lit(2.0)
     copies = (F.col("epochs") + F.when((F.col("rest") > 0) & (middle <= F.col("rest")), 1).otherwise(0)).cast("int")
@@ -93,7 +95,8 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
+    """The mix itself: the rows of ``docs``, each as often as it is taken, with its
+    columns of any name."""
     held = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
     rows = mix(sized(held).drop("text")).where("_copies > 0")
     return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bancalyt.llm.anchors import HOT, Sieve, counted_windows, keyed, recurring, with_spans
-from bancalyt.llm.common import as_bytes, blocks, materialize, release_memory, workers_find_package
+from bancalyt.llm.common import as_bytes, blocks, free_name, materialize, release_memory, workers_find_package
 from bancalyt.llm.rolling import Prefix, mix, window_anchors, words_of
 
 WINDOW = 35
@@ -219,9 +219,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the recurring passages cut out of ``text`` (the words left,
-    one space between them; texts that lose nothing are unchanged)."""
-    columns = docs.columns
-    some, others = with_spans(docs, removed_spans(docs.select("doc_id", "text")))
+    one space between them; texts that lose nothing are unchanged). Other columns
+    of any name stay."""
+    columns, spans = docs.columns, free_name(docs.columns)
+    some, others = with_spans(docs, removed_spans(docs.select("doc_id", "text")), name=spans)
 
     @F.pandas_udf("string")
     def cut(text, spans):
@@ -229,7 +230,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
         return pd.Series([None if t is None else b" ".join(_cut(t.encode(), s)[0]).decode() for t, s in zip(text, spans, strict=True)])
 
-    changed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans"))
+    changed = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut("text", spans))
     return some.withColumn("text", changed).select(*columns).unionByName(others)
 
 

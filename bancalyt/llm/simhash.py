@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bancalyt.llm.anchors import second_key
 from bancalyt.llm.common import as_bytes, blocks, doc_key, materialize, workers_find_package
 from bancalyt.llm.components import components
 from bancalyt.llm.rolling import word_spans
@@ -58,16 +59,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, key, fp) of every row; ``key`` is the row's 64-bit key."""
+    """(doc_id, key, key2, fp) of every row; the two 64-bit keys tell rows apart by
+    id and text."""
     workers_find_package(docs.sparkSession)
 
     def run(batches):
         for batch in blocks(batches, "text"):
             fp = [fingerprint(t, shingle) for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fp, pa.int64())], ["doc_id", "key", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "key2")), pa.array(fp, pa.int64())], ["doc_id", "key", "key2", "fp"])
 
-    return (docs.select("doc_id", "text", doc_key().alias("key"))
-            .mapInArrow(run, "doc_id long, key long, fp long"))
+    return (docs.select("doc_id", "text", doc_key().alias("key"), second_key().alias("key2"))
+            .mapInArrow(run, "doc_id long, key long, key2 long, fp long"))
 
 
 def _patterns() -> list[tuple[int, int, int, int]]:
@@ -197,7 +199,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, key, fp, root, component_id) of every row.
+    """(doc_id, key, key2, fp, root, component_id) of every row.
 
     ``root`` is the smallest fingerprint of the component.
     A null or wordless text has the fingerprint 0, linked like any other. The
@@ -210,16 +212,19 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     named = fps.join(roots, fps.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "low")
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     named = materialize(named.join(lows, "root").select("fp", "root", "component_id"), "fingerprint-components")
-    return marks.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
+    return marks.join(named, "fp").select("doc_id", "key", "key2", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs``, one of each group: its smallest (doc_id, row key).
-
-    Rows without doc_id come last in their group; repeated rows count as one."""
-    found = simhash_components(docs, shingle, max_bits)
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("key").alias("k"))
-    best = materialize(found.groupBy("root").agg(F.min(order).alias("w")).select(F.col("w.k").alias("_key")), "kept")
+    """The rows of ``docs``, one of each group: its smallest by doc_id, then by the
+    128-bit key of id and text; of rows equal in both, the smallest by a hash of
+    all columns. Rows without doc_id come last in their group. Extra columns of
+    any name stay as they are."""
+    found = simhash_components(docs.select("doc_id", "text"), shingle, max_bits)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("key2").alias("k2"))
+    best = materialize(found.groupBy("root").agg(F.min(order).alias("w")).select(F.col("w.k").alias("_k"), F.col("w.k2").alias("_k2")), "kept")
     columns = docs.columns
-    rows = docs.withColumn("_key", doc_key()).join(best, "_key", "left_semi")
-    return rows.dropDuplicates(["_key"]).select(*columns)
+    held = docs.select(doc_key().alias("_k"), second_key().alias("_k2"), F.struct(*[docs[c].alias(f"_c{i}") for i, c in enumerate(columns)]).alias("_row"))
+    rows = held.join(best, ["_k", "_k2"], "left_semi")
+    one = rows.groupBy("_k", "_k2").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    return one.select(*[F.col(f"_row._c{i}").alias(c) for i, c in enumerate(columns)])

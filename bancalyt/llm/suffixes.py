@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bancalyt.llm.anchors import HOT, Sieve, counted_windows, keyed, recurring, with_spans
-from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, materialize, release_memory, workers_find_package
+from bancalyt.llm.common import BLOCK_BYTES, as_bytes, blocks, free_name, materialize, release_memory, workers_find_package
 from bancalyt.llm.rolling import BYTE_VALUES, Prefix, mix, window_anchors
 
 WINDOW = 400
-#: first positions of a window among which its anchor is chosen
-WIDTH = 256
+#: shorter windows leave an anchor fewer bytes than its GRAM
+MIN_WINDOW = 50
 #: bytes whose hash orders the positions
 GRAM = 16
 #: suffixes of one sorted run, and of one merged range on average
@@ -36,56 +36,61 @@ RUN = 1 << 15
 RANGE = 1 << 14
 #: copies of a passage that are cut to suffixes in one task, on average
 COPIES = 500
-#: bytes by which ranges are cut: those of a key, so that a cut parts any two keys
-#: but never one key's suffixes; and one recurring anchor in how many gives a
-#: sample of them (anchors, not keys: a key counts as often as it occurs)
-CUT = WINDOW - WIDTH + 1
+#: ranges are cut by the bytes of a key, so that a cut parts any two keys but
+#: never one key's suffixes; one recurring anchor in how many gives a sample of
+#: them (anchors, not keys: a key counts as often as it occurs)
 SAMPLE = 64
 MAX_SAMPLE = 100_000
 
 
+def width_of(window: int) -> int:
+    """The first positions of a window among which its anchor is chosen; the
+    bytes of a key are the ``window - width + 1`` that follow any of them."""
+    return min(256, window * 16 // 25)
+
+
 class Anchored:
     """Anchors of the windows of some texts: arrays ``text`` (number), ``at``,
     ``first`` and ``last`` (window starts of the anchor) and ``key``."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], window: int = WINDOW):
+        self.window = window
         parts = []
         for group in self._groups(texts):
             parts.append(self._anchors(texts, group))
         self.text, self.at, self.first, self.last, self.key = (
             np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(5))
 
-    @staticmethod
-    def _groups(texts):
+    def _groups(self, texts):
         """(text, begin, starts) pieces of long texts, about BLOCK_BYTES together."""
         group, total = [], 0
         for i, text in enumerate(texts):
-            count = len(text) - WINDOW + 1
+            count = len(text) - self.window + 1
             for base in range(0, max(0, count), BLOCK_BYTES):
                 starts = min(BLOCK_BYTES, count - base)
                 if group and total + starts > BLOCK_BYTES:
                     yield group
                     group, total = [], 0
                 group.append((i, base, starts))
-                total += starts + WINDOW
+                total += starts + self.window
         if group:
             yield group
 
-    @staticmethod
-    def _anchors(texts, group):
-        data = np.frombuffer(b"".join(texts[i][b:b + n + WINDOW - 1] for i, b, n in group), np.uint8)
+    def _anchors(self, texts, group):
+        window, width = self.window, width_of(self.window)
+        data = np.frombuffer(b"".join(texts[i][b:b + n + window - 1] for i, b, n in group), np.uint8)
         number, base, count = (np.array(x, np.int64) for x in zip(*group, strict=True))
-        size = count + WINDOW - 1
+        size = count + window - 1
         offset = np.cumsum(size) - size
         prefix = Prefix(BYTE_VALUES[data])
         valid = np.zeros(len(data) + 1, np.int8)
         valid[offset] += 1
         valid[offset + count] -= 1
         starts = np.flatnonzero(np.cumsum(valid[:-1], dtype=np.int8))
-        at, first, last = window_anchors(prefix.grams(GRAM), starts, WIDTH)
+        at, first, last = window_anchors(prefix.grams(GRAM), starts, width)
         piece = np.searchsorted(offset, first, "right") - 1
         move = base[piece] - offset[piece]
-        key = prefix.hashes(at, at + WINDOW - WIDTH + 1).view(np.int64)
+        key = prefix.hashes(at, at + window - width + 1).view(np.int64)
         return number[piece], at + move, first + move, last + move, key
 
 
@@ -193,30 +198,30 @@ def merge(runs: list[Run]):
             node >>= 1
 
 
-def repeated_windows(lcp: np.ndarray, lefts: list[bytes], low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def repeated_windows(lcp: np.ndarray, lefts: list[bytes], low: np.ndarray, high: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Which windows recur: a row per suffix in sorted order, a column per
     offset of the anchor in its window.
 
     The window at offset o equals another one if the suffixes share
-    WINDOW - o bytes and the bytes to the left share o. Both are classes of
+    ``window`` - o bytes and the bytes to the left share o. Both are classes of
     neighbours in a sorted order: of the suffixes (``lcp``), and of the left
     bytes, read leftwards; windows in one class of both are equal."""
-    n = len(lcp)
-    valid = np.zeros((n, WIDTH), bool)
+    n, width = len(lcp), width_of(window)
+    valid = np.zeros((n, width), bool)
     if not n:
         return valid
-    joined = np.frombuffer(b"".join(x.ljust(WIDTH, b"\0") for x in lefts), np.uint8).reshape(n, WIDTH)
-    order = np.argsort(joined.view(f"S{WIDTH}").ravel(), kind="stable")
+    joined = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in lefts), np.uint8).reshape(n, width)
+    order = np.argsort(joined.view(f"S{width}").ravel(), kind="stable")
     ordered = joined[order]
     differ = ordered[1:] != ordered[:-1]
-    left_lcp = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)])
+    left_lcp = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), width)])
     left_class = np.zeros(n, np.int64)
-    for o in range(WIDTH):
+    for o in range(width):
         active = np.flatnonzero((low <= o) & (high >= o))
         if len(active) < 2:
             continue
         left_class[order] = np.cumsum(left_lcp < o)
-        classes = np.cumsum(lcp < WINDOW - o)[active] * (n + 1) + left_class[active]
+        classes = np.cumsum(lcp < window - o)[active] * (n + 1) + left_class[active]
         ranked = np.argsort(classes, kind="stable")
         same = classes[ranked][1:] == classes[ranked][:-1]
         hit = np.zeros(len(active), bool)
@@ -226,26 +231,30 @@ def repeated_windows(lcp: np.ndarray, lefts: list[bytes], low: np.ndarray, high:
     return valid
 
 
-def _spans(runs: list[Run]) -> dict[str, np.ndarray]:
+def _spans(runs: list[Run], window: int = WINDOW) -> dict[str, np.ndarray]:
     """The bytes covered by recurring windows, of one merged range."""
     found = list(merge(runs))
     lcp = np.array([x[2] for x in found], np.int64)
-    cluster = np.cumsum(lcp < WINDOW - WIDTH + 1)
+    cluster = np.cumsum(lcp < window - width_of(window) + 1)
     alone = np.bincount(cluster)[cluster] < 2
     keep = np.flatnonzero(~alone)
     run, i = (np.array([found[k][j] for k in keep.tolist()], np.int64) for j in (0, 1))
     take = lambda name: np.fromiter((getattr(runs[r], name)[k] for r, k in zip(run.tolist(), i.tolist(), strict=True)), np.int64, len(keep))
     low, high, at, dk, dk2 = map(take, ("low", "high", "at", "dk", "dk2"))
-    valid = repeated_windows(lcp[keep], [runs[r].lefts[k] for r, k in zip(run.tolist(), i.tolist(), strict=True)], low, high)
+    valid = repeated_windows(lcp[keep], [runs[r].lefts[k] for r, k in zip(run.tolist(), i.tolist(), strict=True)], low, high, window)
     edge = np.diff(np.pad(valid.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     row, begin = np.nonzero(edge == 1)
     end = np.nonzero(edge == -1)[1] - 1
-    return {"dk": dk[row], "dk2": dk2[row], "begin": at[row] - end, "end": at[row] - begin + WINDOW}
+    return {"dk": dk[row], "dk2": dk2[row], "begin": at[row] - end, "end": at[row] - begin + window}
 
 
-def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def removed_spans(docs: DataFrame, hot: int = HOT, window: int = WINDOW) -> DataFrame:
     """(dk, dk2, spans): per row key of ``anchors.keyed`` the array of (begin,
-    end) of the byte strings to remove, in any order, maybe overlapping."""
+    end) of the byte strings to remove, in any order, maybe overlapping: those of
+    ``window`` bytes (MIN_WINDOW at least) that start at two places or more."""
+    if window < MIN_WINDOW:
+        raise ValueError(f"a string has {MIN_WINDOW} bytes at least")
+    cut_at = window - width_of(window) + 1
     spark = docs.sparkSession
     workers_find_package(spark)
     rows = keyed(docs)
@@ -253,10 +262,10 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def list_anchors(batches):
         for batch in blocks(batches, "text"):
             texts = as_bytes(batch.column("text"))
-            found = Anchored(texts)
+            found = Anchored(texts, window)
             row = batch.column("dk").to_numpy().view(np.uint64)[found.text]
             sample = (mix(found.key.view(np.uint64) ^ mix(row + found.at.astype(np.uint64))) % np.uint64(SAMPLE)) == 0
-            cut = [texts[t][a:a + CUT] if s else None for t, a, s in zip(found.text.tolist(), found.at.tolist(), sample.tolist(), strict=True)]
+            cut = [texts[t][a:a + cut_at] if s else None for t, a, s in zip(found.text.tolist(), found.at.tolist(), sample.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.key), batch.column("dk").take(pa.array(found.text)), pa.array(found.at), pa.array(cut, pa.binary())],
                 ["key", "dk", "at", "cut"])
@@ -273,7 +282,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def marked(batch, column):
         """Texts and anchors, with which anchors are listed in ``column``."""
         texts = as_bytes(batch.column("text"))
-        found = Anchored(texts)
+        found = Anchored(texts, window)
         lists = batch.column(column)
         offsets, values = np.asarray(lists.offsets), np.asarray(lists.values)
         pairs = np.repeat(np.arange(len(texts)), np.diff(offsets)) << 40 | values[offsets[0]:offsets[-1]]
@@ -286,7 +295,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
             entries.sort(key=lambda e: e[0])
             begin = 0
             for target in range(len(cuts) + 1):
-                end = bisect.bisect_left(entries, cuts[target], begin, key=lambda e: e[0][:CUT]) if target < len(cuts) else len(entries)
+                end = bisect.bisect_left(entries, cuts[target], begin, key=lambda e: e[0][:cut_at]) if target < len(cuts) else len(entries)
                 if end > begin:
                     yield target, Run.pack(entries[begin:end])
                 begin = end
@@ -302,7 +311,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
             dk, dk2 = (batch.column(c).to_pylist() for c in ("dk", "dk2"))
             for t, at, first, last in zip(*(x[wanted].tolist() for x in (found.text, found.at, found.first, found.last)), strict=True):
                 text = texts[t]
-                entries.append((text[at:last + WINDOW], text[first:at][::-1], at - last, at - first, at, dk[t], dk2[t]))
+                entries.append((text[at:last + window], text[first:at][::-1], at - last, at - first, at, dk[t], dk2[t]))
             if len(entries) >= RUN:
                 yield rows_of(list(flush()))
         if entries:
@@ -312,7 +321,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
         current, blobs = None, []
 
         def flush():
-            found = _spans([Run(b) for b in blobs])
+            found = _spans([Run(b) for b in blobs], window)
             release_memory()
             return pa.RecordBatch.from_arrays([pa.array(v) for v in found.values()], list(found))
 
@@ -344,8 +353,8 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 data = np.frombuffer(texts[t], np.uint8)
                 for k in range(0, len(begin), BLOCK_BYTES):
                     b = begin[k:k + BLOCK_BYTES]
-                    lo, hi = b.min(), b.max() + WINDOW
-                    h = [Prefix(v[data[lo:hi]]).hashes(b - lo, b - lo + WINDOW).view(np.int64) for v in (BYTE_VALUES, other)]
+                    lo, hi = b.min(), b.max() + window
+                    h = [Prefix(v[data[lo:hi]]).hashes(b - lo, b - lo + window).view(np.int64) for v in (BYTE_VALUES, other)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h[0]), pa.array(h[1]), pa.array(np.full(len(b), dk[t])), pa.array(np.full(len(b), dk2[t])), pa.array(b)],
                         ["h1", "h2", "dk", "dk2", "begin"])
@@ -353,7 +362,7 @@ def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     if again.hot:
         windows = (candidates.where(F.size("hot") > 0).select("text", "dk", "dk2", "hot")
                    .mapInArrow(hash_windows, "h1 long, h2 long, dk long, dk2 long, begin long"))
-        spans = spans.unionByName(counted_windows(windows).withColumn("end", F.col("begin") + WINDOW))
+        spans = spans.unionByName(counted_windows(windows).withColumn("end", F.col("begin") + window))
     return materialize(spans.groupBy("dk", "dk2").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "byte-spans")
 
 
@@ -397,12 +406,13 @@ def report(docs: DataFrame) -> DataFrame:
     return some.unionByName(others)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated strings cut out of ``text``; every row stays.
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the strings of ``window`` bytes that start at two places or
+    more cut out of ``text``; every row stays, with its other columns of any name.
 
     Where a cut parts the bytes of one character, these bytes go too."""
-    columns = docs.columns
-    some, others = with_spans(docs, removed_spans(docs.select("doc_id", "text")))
+    columns, spans = docs.columns, free_name(docs.columns)
+    some, others = with_spans(docs, removed_spans(docs.select("doc_id", "text"), window=window), name=spans)
 
     @F.pandas_udf("string")
     def cut(text, spans):
@@ -410,5 +420,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
         return pd.Series([None if t is None else _cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(text, spans, strict=True)])
 
-    changed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans"))
+    changed = F.when(F.col(spans).isNull(), F.col("text")).otherwise(cut("text", spans))
     return some.withColumn("text", changed).select(*columns).unionByName(others)

@@ -49,11 +49,11 @@ def test_ranges_part_between_keys(spark, monkeypatch, keys, copies, one_in, aver
     rows = [(i, letters(300) + phrase + tails[i % keys]) for i in range(keys * copies)]
     spans = suffixes._spans
 
-    def bounded(runs):
+    def bounded(runs, window):
         size = sum(r.size for r in runs)
         if size > bound:
             raise ValueError(f"a range of {size} suffixes")
-        return spans(runs)
+        return spans(runs, window)
 
     for name, value in (("_spans", bounded), ("RANGE", average), ("RUN", 200), ("SAMPLE", one_in)):
         monkeypatch.setattr(suffixes, name, value)
@@ -117,3 +117,28 @@ def test_merge_of_nothing_and_of_one():
     assert list(suffixes.merge([suffixes.Run(suffixes.Run.pack([]))])) == []
     one = suffixes.Run(suffixes.Run.pack([(b"a", b"", 0, 0, 0, 0, 0), (b"ab", b"", 0, 0, 0, 0, 0)]))
     assert list(suffixes.merge([one])) == [(0, 0, 0), (0, 1, 1)]
+
+
+@pytest.mark.parametrize("window", [50, 200, 333])
+def test_strings_of_other_lengths(spark, rows, window):
+    rows = [r for r in rows if r[0] is not None and r[0] < 60] + [(503, "x" * 1300), (None, rows[0][1])]
+    spans = suffixes.removed_spans(frame(spark, rows), window=window).collect()
+    whole = brute.without_strings(rows, window)
+    removed = sum(r[2] for r in set(whole))  # spans of equal rows stand once
+    covered = 0
+    for r in spans:
+        covered += len(set().union(*(range(s.begin, s.end) for s in r.spans)))
+    assert covered == removed
+    kept = suffixes.without_repeats(frame(spark, rows), window).collect()
+    assert sum(len((r.text or "").encode()) for r in kept) <= sum(len((t or "").encode()) for _, t in rows) - sum(r[2] for r in whole)
+
+
+@pytest.mark.parametrize("cut", [suffixes.without_repeats, phrases.without_repeats])
+def test_columns_of_any_name_stay(spark, rows, cut):
+    names = ["_spans", "_s", "dk", "dk2", "spans", "key", "_c0", "_SPANS_"]
+    extra = frame(spark, rows).select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    got = cut(extra)
+    assert got.columns == ["doc_id", "text", *names]
+    found = got.collect()
+    assert len(found) == len(rows) and all(tuple(r)[2:] == tuple(range(len(names))) for r in found)
+    assert brute.rows_by((r.doc_id, r.text) for r in found) == brute.rows_by(map(tuple, cut(frame(spark, rows)).collect()))

@@ -126,3 +126,12 @@ def test_patterns_reach_every_anchor_in_reach():
         mine = rows[rows[:, 0] == half]
         assert mine[mine[:, 2] == 1][:, 1].tolist().__len__() == 32  # one home per syndrome
         assert {bin(f).count("1") for f in mine[:, 3].tolist()} == set(range(reach + 1))
+
+
+def test_kept_rows_with_columns_of_any_name(spark):
+    rows = [(1, "a b c d e", 77, 5), (1, "a b c d e", 77, 4), (2, "a b c d e", 78, 1), (None, "a b c d e", 79, 1), (3, "q r s t u v w", 80, 1), (3, "q r s t u v w", 80, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, _k long")
+    for parts in (1, 3):
+        got = sorted(map(tuple, simhash.keep_one(docs.repartition(parts)).collect()))
+        assert [r[:3] for r in got] == [(1, "a b c d e", 77), (3, "q r s t u v w", 80)]
+        assert got == sorted(map(tuple, simhash.keep_one(docs.orderBy("_k")).collect()))

@@ -113,6 +113,13 @@ def test_mixed_rows_are_repeated_as_reported(spark):
     assert by(got.collect()) == by(want.collect())
 
 
+def test_mixing_of_equal_ids_and_sizes_agrees_on_reruns(spark):
+    rows = [(None, "s", f"w{i} x y") for i in range(60)] + [(None, "t", f"v{i} x y") for i in range(60)] + [(7, "u", f"{i} x") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    runs = [sorted(map(repr, mixing.mixed(docs.orderBy(F.rand(seed)).repartition(1 + seed)).collect())) for seed in range(3)]
+    assert runs[0] == runs[1] == runs[2] and 0 < len(set(runs[0])) < len(rows)
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.mix_report(sources(spark, [])).collect() == []
     assert [r.taken for r in mixing.mix_report(sources(spark, [(1, None, None)])).collect()] == [0]
