@@ -10,6 +10,12 @@ from bancalyt.llm import bpe, mixing, quality, simhash, suffixes
 from bancalyt.llm.common import new_path
 
 
+#: bytes of the repeated strings that are cut out: a passage of over 50 words has
+#: more in languages with short words (259 bytes and up in the test tables), and
+#: unrelated texts share no string as long
+PASSAGE = 200
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go (null and empty texts too)."""
     return quality.accepted(docs)
@@ -21,9 +27,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that start at two places or more are cut out of the
+    """Strings of PASSAGE bytes that start at two places or more are cut out of the
     texts. Every document stays, with what is left, and n_chars follows."""
-    cut = suffixes.without_repeats(docs)
+    cut = suffixes.without_repeats(docs, PASSAGE)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
