@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,11 +30,15 @@ def workers_find_package(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the one that
+    the session was given by ``setCheckpointDir``.
 
-    Only a session that names none (tests, a local run) gets a scratch folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    Only a local session (tests) that names none gets a scratch folder; on a
+    cluster each executor would write to its own disk."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="bancalyt-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

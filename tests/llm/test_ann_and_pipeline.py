@@ -85,17 +85,17 @@ def plain_stages(docs):
         if c not in first or d["doc_id"] < first[c]["doc_id"]:
             first[c] = d
     docs = list(first.values())
-    data = [d["text"].encode() for d in docs]
+    data, size = [d["text"].encode() for d in docs], corpus_pipeline.PASSAGE
     seen = {}
     for t in data:
-        for i in range(len(t) - 399):
-            seen[t[i:i + 400]] = seen.get(t[i:i + 400], 0) + 1
+        for i in range(len(t) - size + 1):
+            seen[t[i:i + size]] = seen.get(t[i:i + size], 0) + 1
     kept = []
     for d, t in zip(docs, data, strict=True):
         mask = bytearray(len(t))
-        for i in range(len(t) - 399):
-            if seen[t[i:i + 400]] > 1:
-                mask[i:i + 400] = b"\1" * 400
+        for i in range(len(t) - size + 1):
+            if seen[t[i:i + size]] > 1:
+                mask[i:i + size] = b"\1" * size
         kept.append({**d, "text": bytes(b for b, m in zip(t, mask, strict=True) if not m).decode("utf-8", "ignore")})
     con = duckdb.connect()
     import pyarrow as pa
