@@ -66,15 +66,24 @@ def preaggregate_join(base: DataFrame, fact: DataFrame, on: str | Sequence[str],
     return joined.na.fill(dict(fill)) if fill else joined
 
 
+#: hot keys that a sketch reports at most, and the keys that it counts at a time
+HOT_KEYS = 1_000
+TRACKED = 100_000
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """``(key, _salts)``: every key holding more than ``rows_per_task`` rows of
-    ``df`` and the number of tasks its rows need, ``ceil(rows / rows_per_task)``.
+    """``(key, _salts)``: keys holding more than ``rows_per_task`` rows of ``df`` and
+    the number of tasks their rows need, ``ceil(rows / rows_per_task)``.
 
-    One pass over the key column with map-side partial counts.  There can
-    never be more than ``total rows / rows_per_task`` such keys."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-              .where(F.col("_rows") > rows_per_task)
-              .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("long").alias("_salts")))
+    A frequent-items sketch, merged from one per task: no key is shuffled, and
+    there are at most ``HOT_KEYS`` rows, the most frequent keys.  Its counts err
+    by less than ``4 x rows / TRACKED`` (exact up to some ``TRACKED`` different keys);
+    they only choose the number of salts, never the result of a join."""
+    sketch = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED})").alias("_top"))
+    return (sketch.select(F.explode("_top").alias("_t"))
+            .where(F.col("_t.count") > rows_per_task)
+            .select(F.col("_t.item").alias(key), F.ceil(F.col("_t.count") / rows_per_task).cast("long").alias("_salts")))
 
 
 def salted_join(fact: DataFrame, per_key: DataFrame, key: str, hot: DataFrame, salt_from: str,
@@ -83,32 +92,32 @@ def salted_join(fact: DataFrame, per_key: DataFrame, key: str, hot: DataFrame, s
     several tasks.
 
     ``per_key`` has at most one row per key (customers, a key set for a
-    semi/anti join); ``hot`` is ``(key, _salts)`` from :func:`hot_keys`.
-    A row of ``fact`` with a hot key gets salt ``hash(salt_from) mod
-    _salts`` (deterministic, so a recomputed task assigns the same salt) and
-    the matching ``per_key`` row is replicated once per salt.  Every other
-    row joins with salt 0 like an ordinary hash join.  How ``hot`` reaches
-    the rows is left to the optimizer, which knows its size at run time.
-    Works for inner, left, left_semi and left_anti joins.
+    semi/anti join); ``hot`` is ``(key, _salts)`` from :func:`hot_keys`, at most
+    ``HOT_KEYS`` rows, which reach all tasks as one map (a scalar subquery).  So
+    the rows of ``fact`` are shuffled once, on (key, salt).  A row with a hot key
+    gets salt ``hash(salt_from) mod _salts`` (deterministic, so a recomputed
+    task assigns the same salt) and the matching ``per_key`` row is replicated
+    once per salt.  Every other row joins with salt 0 like an ordinary hash
+    join, whose large partitions adaptive execution splits.  Works for inner,
+    left, left_semi and left_anti joins.
     """
-    marks = hot.select(key, "_salts")
-    salted_fact = (fact.join(marks, key, "left")
-                   .withColumn("_salt", F.coalesce(
-                       F.pmod(F.xxhash64(salt_from), F.col("_salts")), F.lit(0).cast("long")))
-                   .drop("_salts"))
-    replicated = (per_key.join(marks, key, "left")
-                  .withColumn("_salt", F.explode(F.sequence(
-                      F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1).cast("long")) - 1)))
-                  .drop("_salts"))
+    salts = hot.agg(F.map_from_entries(F.collect_list(F.struct(key, "_salts")))).scalar()
+    many = F.coalesce(F.try_element_at(salts, F.col(key)), F.lit(1).cast("long"))
+    own = F.xxhash64(salt_from)
+    # rows without a key meet nothing: any salt will do, and spreads them
+    salted_fact = fact.withColumn("_salt", F.when(F.col(key).isNull(), own).otherwise(F.pmod(own, many)))
+    replicated = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), many - 1)))
     return salted_fact.join(replicated, [key, "_salt"], how).drop("_salt")
 
 
 def spread_join(fact: DataFrame, per_group: DataFrame, key: str, salt_from: str,
-                salts: int = 64) -> DataFrame:
+                salts: int | None = None) -> DataFrame:
     """Inner join on a key of few values (segment, risk level): every row of
-    ``per_group`` (one per value) is replicated ``salts`` times and the rows
-    of ``fact`` are dealt over the copies, so that no value's rows meet in
-    one task even where the small side is not broadcast."""
+    ``per_group`` (one per value) is replicated ``salts`` times (default: the
+    session's number of shuffle partitions) and the rows of ``fact`` are dealt
+    over the copies, so that no value's rows meet in one task even where the
+    small side is not broadcast."""
+    salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = per_group.withColumn("_salt", F.explode(F.sequence(
         F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     dealt = fact.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)))

@@ -9,8 +9,8 @@ runs an unbounded window:
 
 * ``top_k`` is ``orderBy().limit()``, planned as TakeOrderedAndProject: every
   partition keeps its own k best rows and only ``k x partitions`` rows meet.
-* ``rank_all`` ranks every row (and gives its lag / lead) over data-defined
-  value buckets and id buckets (see its docstring).
+* ``rank_all`` ranks every row (and gives its lag / lead) over ranges of about
+  equal size, cut where the data says (see its docstring).
 * ``rank_within`` and ``neighbor_diff`` serve ordered reports of the first k
   rows of ``(group, order, tie-break)``.  Every row that precedes a reported
   row inside its group is itself among those k rows, so ranks, dense ranks,
@@ -29,6 +29,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bancalyt.operators.scratch import written
+
 RANK_FUNCTIONS = {
     "rank": F.rank,
     "dense_rank": F.dense_rank,
@@ -120,119 +122,79 @@ def neighbor_diff(df: DataFrame, by: Sequence[str], order: Sequence[Column], val
 
 
 def rank_all(df: DataFrame, by: Sequence[str], value: str, row_id: str,
-             value_width: float, id_width: int, kinds: Mapping[str, str] | None = None,
-             lag_out: str | None = None, lead_out: str | None = None,
-             default=None) -> DataFrame:
+             kinds: Mapping[str, str] | None = None, lag_out: str | None = None,
+             lead_out: str | None = None, default=None, parts: int | None = None) -> DataFrame:
     """Rank, dense rank, row number, previous and next value of every row
     inside its ``by`` group, by ``value`` descending (nulls last) then
-    ``row_id`` ascending, with no step that holds a whole group in one task.
-
-    Every split is defined by the data, so all branches of the plan agree
-    on it however the rows are partitioned:
-
-    * distinct values of a group are cut into value buckets of
-      ``value_width`` (a bucket of money in cents holds a bounded number of
-      distinct values); prefix counts inside a bucket are a window over the
-      bucket, and across buckets a window over one row per bucket;
-    * inside a run of tied values, rows are cut into ``id_width`` buckets of
-      ``row_id`` (an integer key), so a tie run shared by a third of the
-      table is still numbered by many tasks.
-
-    ``rank``/``dense_rank`` use the value only; ``row_number``, lag and lead
-    also ``row_id``.  ``default`` is the lag / lead of a row without a
-    neighbour.  ``value`` must be numeric, ``row_id`` an integer key and the
-    ``by`` columns numeric or strings.
-
-    The input is aggregated once, to (group, value, id bucket); everything
-    else is windows chained on that small table, all of them inside one
-    value bucket, plus one window over the buckets of a group.  The rows
-    themselves are shuffled once, for the numbering inside their id bucket
-    and the join with the small table.  Null row ids come first in a run of
-    equal values, as in an ascending order.
-
-    Sizing: a value bucket holds at most ``value_width / resolution``
-    distinct values (cents for money), an id bucket at most ``id_width``
-    rows, and the one window per group runs over ``value range /
-    value_width`` bucket rows; pick the widths so all three stay bounded.
+    ``row_id`` ascending (nulls first), with no step that holds a whole group
+    in one task.
+
+    The rows are cut into ranges of (group, value, id) of about equal size, at
+    bounds that Spark samples from the data, so neither sparse ids nor a value
+    shared by a third of the rows make a large range.  The ranges are written
+    once to the shared folder with their number, so that every later step
+    agrees on them.  Windows run inside (group, range); a range's summary (rows,
+    distinct values, first and last value, start of its last run of ties) is one
+    row, and prefix sums over the summaries of a group, in order, give what
+    stands before each range.  A run of ties that goes on from the range before
+    takes the rank at which it began there.
+
+    Account rows are shuffled twice: into ranges, and for the windows, whose
+    partitioning also serves the join with the prefix sums.  ``rank`` and
+    ``dense_rank`` use the value only; ``row_number``, lag and lead also
+    ``row_id``, a unique key.  ``default`` is the lag / lead of a row without a
+    neighbour.  ``parts`` fixes the number of ranges (by default that of the
+    session's shuffles, small ones joined by adaptive execution).
     """
-    kinds = dict(kinds or {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"})
-    # non-null surrogates of the keys, so that all joins are plain equalities
-    group, run = [], []
-    cols = {}
-    for c, names in [*((c, group) for c in by), (value, run)]:
-        cols[f"_s_{c}"] = F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
-        cols[f"_z_{c}"] = F.col(c).isNull()
-        names += [f"_s_{c}", f"_z_{c}"]
-    lowest = F.lit(-(1 << 62)).cast("long")
-    cols["_vb"] = F.coalesce(F.floor(F.col(value) / F.lit(value_width)).cast("long"), lowest)
-    cols["_idb"] = F.coalesce(F.floor(F.col(row_id) / F.lit(id_width)).cast("long"), lowest)
-    rows = df.withColumns(cols)
-
-    level = rows.groupBy(*group, "_vb", *run, "_idb", value).agg(F.count(F.lit(1)).alias("_tc"))
-    bucket = Window.partitionBy(*group, "_vb")
-    in_order = bucket.orderBy(F.col(value).desc(), F.col("_idb").asc())
-    tied = Window.partitionBy(*group, "_vb", *run).orderBy("_idb")
-    whole_run = tied.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ahead = (Window.unboundedPreceding, -1)
-    # windows of the bucket first: those of a run then need no other shuffle
-    level = level.withColumns({
-        "_before": F.coalesce(F.sum("_tc").over(in_order.rowsBetween(*ahead)), F.lit(0)),
-        "_ld": F.dense_rank().over(bucket.orderBy(F.col(value).desc())),
-        "_lag": F.lag(value).over(in_order), "_has_lag": F.lag(F.lit(1)).over(in_order).isNotNull(),
-        "_lead": F.lead(value).over(in_order), "_has_lead": F.lead(F.lit(1)).over(in_order).isNotNull(),
-    }).withColumns({
-        "_tie_before": F.coalesce(F.sum("_tc").over(tied.rowsBetween(*ahead)), F.lit(0)),
-        "_c": F.sum("_tc").over(whole_run),
-        "_prev_in": F.first("_lag").over(whole_run), "_has_prev_in": F.first("_has_lag").over(whole_run),
-        "_next_in": F.last("_lead").over(whole_run), "_has_next_in": F.last("_has_lead").over(whole_run),
+    kinds = dict(kinds if kinds is not None else {"rnk": "rank", "dense_rnk": "dense_rank", "row_num": "row_number"})
+    order = [*_asc(by), F.col(value).desc_nulls_last(), F.col(row_id).asc()]
+    ranged = df.repartitionByRange(*([] if parts is None else [parts]), *order)
+    rows = written(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
+    # non-null surrogates of the keys: the join is a plain equality on the windows' partitioning
+    group, surrogates = [], {}
+    for c in by:
+        surrogates[f"_s_{c}"] = F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType))
+        surrogates[f"_z_{c}"] = F.col(c).isNull()
+        group += [f"_s_{c}", f"_z_{c}"]
+    here = Window.partitionBy(*group, "_part")
+    in_order = here.orderBy(F.col(value).desc(), F.col(row_id).asc())
+    by_value = here.orderBy(F.col(value).desc())
+    local = rows.withColumns(surrogates).withColumns({
+        "_rn": F.row_number().over(in_order),
+        "_lag": F.lag(value).over(in_order), "_lead": F.lead(value).over(in_order),
+    }).withColumns({"_rk": F.rank().over(by_value), "_dn": F.dense_rank().over(by_value)})
+
+    summary = local.groupBy(*group, "_part").agg(
+        F.max("_rn").cast("long").alias("_n"), F.max("_rk").cast("long").alias("_tail"), F.max("_dn").cast("long").alias("_d"),
+        F.max(value).alias("_first"), F.when(F.count(value) == F.count(F.lit(1)), F.min(value)).alias("_last"))
+    seq = Window.partitionBy(*group).orderBy("_part")
+    ahead = seq.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(ahead), F.lit(0)), "_dist": F.coalesce(F.sum("_d").over(ahead), F.lit(0)),
+        "_prev": F.lag("_last").over(seq), "_has_prev": F.lag(F.lit(1)).over(seq).isNotNull(),
+        "_next": F.lead("_first").over(seq), "_has_next": F.lead(F.lit(1)).over(seq).isNotNull(),
     })
-    # one row per bucket (from the same shuffle), put in order inside the group
-    buckets = level.groupBy(*group, "_vb").agg(
-        F.sum("_tc").alias("_bn"), F.count_if(F.col("_tie_before") == 0).alias("_bd"),
-        F.max(value).alias("_btop"), F.min(value).alias("_bbottom"))
-    seq = Window.partitionBy(*group).orderBy(F.col("_vb").desc())
-    offsets = buckets.select(
-        *group, "_vb",
-        F.coalesce(F.sum("_bn").over(seq.rowsBetween(*ahead)), F.lit(0)).alias("_rows_before"),
-        F.coalesce(F.sum("_bd").over(seq.rowsBetween(*ahead)), F.lit(0)).alias("_dist_before"),
-        F.lag("_bbottom").over(seq).alias("_prev_bucket_last"),
-        F.lag(F.lit(1)).over(seq).isNotNull().alias("_has_prev_bucket"),
-        F.lead("_btop").over(seq).alias("_next_bucket_first"),
-        F.lead(F.lit(1)).over(seq).isNotNull().alias("_has_next_bucket"))
-    level = level.join(offsets, [*group, "_vb"]).select(
-        *group, *run, "_idb", "_tie_before", "_c",
-        (F.col("_rows_before") + F.col("_before") - F.col("_tie_before") + 1).alias("_rank"),
-        (F.col("_dist_before") + F.col("_ld")).alias("_dense"),
-        F.when(F.col("_has_prev_in"), F.col("_prev_in")).otherwise(F.col("_prev_bucket_last")).alias("_prev_v"),
-        (F.col("_has_prev_in") | F.col("_has_prev_bucket")).alias("_has_prev_v"),
-        F.when(F.col("_has_next_in"), F.col("_next_in")).otherwise(F.col("_next_bucket_first")).alias("_next_v"),
-        (F.col("_has_next_in") | F.col("_has_next_bucket")).alias("_has_next_v"))
-
-    jk = [*group, *run, "_idb"]
-    numbered = rows.drop("_vb").withColumn("_trn", F.row_number().over(
-        Window.partitionBy(*jk).orderBy(F.col(row_id).asc())))
-    full = numbered.join(level, jk)
-
-    out = {}
-    for name, kind in kinds.items():
-        if kind == "rank":
-            out[name] = F.col("_rank")
-        elif kind == "dense_rank":
-            out[name] = F.col("_dense")
-        elif kind == "row_number":
-            out[name] = F.col("_rank") + F.col("_tie_before") + F.col("_trn") - 1
-        else:
-            raise ValueError(f"unknown rank kind {kind!r}")
-    position_in_run = F.col("_tie_before") + F.col("_trn")
-    first_of_run = position_in_run == 1
-    last_of_run = position_in_run == F.col("_c")
+    summary = summary.withColumn("_goes_on", F.col("_has_prev") & F.col("_first").eqNullSafe(F.col("_prev")))
+    # where the last run of a range began; null if the whole range goes on a run
+    began = F.when(~(F.col("_goes_on") & (F.col("_tail") == 1)), F.col("_before") + F.col("_tail"))
+    summary = summary.withColumn("_began", began).withColumns({
+        "_run": F.last("_began", ignorenulls=True).over(ahead),
+        "_shared": F.sum(F.col("_goes_on").cast("long")).over(seq.rowsBetween(Window.unboundedPreceding, 0))})
+    full = local.join(summary.select(*group, "_part", "_n", "_before", "_dist", "_shared", "_run", "_goes_on",
+                                     "_prev", "_has_prev", "_next", "_has_next"), [*group, "_part"])
+
+    columns = {
+        "rank": F.when(F.col("_goes_on") & (F.col("_rk") == 1), F.col("_run")).otherwise(F.col("_before") + F.col("_rk")),
+        "dense_rank": F.col("_dist") - F.col("_shared") + F.col("_dn"),
+        "row_number": F.col("_before") + F.col("_rn"),
+    }
+    if unknown := [k for k in kinds.values() if k not in columns]:
+        raise ValueError(f"unknown rank kind {unknown[0]!r}")
+    out = {name: columns[kind].cast("long") for name, kind in kinds.items()}
     if lag_out:
-        out[lag_out] = (F.when(~first_of_run, F.col(value))
-                        .when(F.col("_has_prev_v"), F.col("_prev_v"))
-                        .otherwise(F.lit(default)))
+        out[lag_out] = (F.when(F.col("_rn") > 1, F.col("_lag"))
+                        .when(F.col("_has_prev"), F.col("_prev")).otherwise(F.lit(default)))
     if lead_out:
-        out[lead_out] = (F.when(~last_of_run, F.col(value))
-                         .when(F.col("_has_next_v"), F.col("_next_v"))
-                         .otherwise(F.lit(default)))
-    result = full.withColumns({k: (c.cast("long") if k in kinds else c) for k, c in out.items()})
-    return result.select(*df.columns, *out)
+        out[lead_out] = (F.when(F.col("_rn") < F.col("_n"), F.col("_lead"))
+                         .when(F.col("_has_next"), F.col("_next")).otherwise(F.lit(default)))
+    return full.withColumns(out).select(*df.columns, *out)

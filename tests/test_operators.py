@@ -126,22 +126,23 @@ def test_salted_join_equals_plain_join(spark, how, rows_per_task):
                                     "k long, name string")
     hot = hot_keys(fact, "k", rows_per_task=rows_per_task)
     counts = {k: keys.count(k) for k in set(keys)}
-    assert dict(collect(hot)) == {k: -(-n // rows_per_task) for k, n in counts.items() if n > rows_per_task}
+    assert dict(collect(hot)) == {k: -(-n // rows_per_task) for k, n in counts.items() if k is not None and n > rows_per_task}
     got = salted_join(fact, per_key, "k", hot, salt_from="id", how=how)
     want = fact.join(per_key, "k", how)
     assert sorted(collect(got), key=repr) == sorted(collect(want), key=repr)
     assert "_salt" in got._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("value_width,id_width", [(1, 1), (7, 1000), (10, 3), (1000, 10**6)])
-def test_rank_all_equals_full_window(spark, value_width, id_width):
-    rnd = random.Random(value_width)
-    rows = [(i * 3 + rnd.randint(0, 2), rnd.choice([1, 1, 1, 1, 2, 3, None]),
+@pytest.mark.parametrize("parts", [None, 1, 7, 40])
+@pytest.mark.parametrize("ids", ["dense", "sparse"])
+def test_rank_all_equals_full_window(spark, parts, ids):
+    rnd = random.Random(parts)
+    # value 20 holds more than a third of the rows; sparse ids are far apart
+    rows = [(i * 3 + rnd.randint(0, 2) if ids == "dense" else i * 10**15 - 5 * 10**17, rnd.choice([1, 1, 1, 1, 2, 3, None]),
              rnd.choice([10, 20, 20, 20, 20, 20, 30, None, None, 40, 55, 7]))
             for i in range(400)]
     df = spark.createDataFrame(rows, "id long, g long, v long")
-    got = rank_all(df, ["g"], "v", "id", value_width, id_width, lag_out="lag",
-                   lead_out="lead", default=-1)
+    got = rank_all(df, ["g"], "v", "id", lag_out="lag", lead_out="lead", default=-1, parts=parts)
     w = Window.partitionBy("g").orderBy(F.desc("v"))
     wn = Window.partitionBy("g").orderBy(F.desc("v"), "id")
     want = df.select("*", F.rank().over(w).cast("long").alias("rnk"),
@@ -151,3 +152,16 @@ def test_rank_all_equals_full_window(spark, value_width, id_width):
                      F.lead("v", 1, -1).over(wn).alias("lead"))
     assert (sorted(collect(got.select(*want.columns)), key=repr)
             == sorted(collect(want), key=repr))
+
+
+def test_rank_all_splits_a_run_of_ties_and_shuffles_rows_once_after_the_ranges(spark):
+    df = spark.range(9000).select("id", F.lit(1).alias("g"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("v"))
+    got = rank_all(df, ["g"], "v", "id", parts=12)
+    tied = got.where("v = 5 and id % 3 = 0")
+    assert tied.select("rnk").distinct().count() == 1 and tied.select("row_num").distinct().count() == 3000
+    ranges = got.inputFiles()
+    sizes = [spark.read.parquet(f).count() for f in ranges]
+    assert len(sizes) == 12 and max(sizes) < 2 * 9000 / 12
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert sum(" Exchange " in line or "Exchange hash" in line for line in final.splitlines()) <= 6  # 7 with the one into ranges

@@ -161,3 +161,29 @@ def test_dataframe_and_sql_forms_agree(t):
     a = collect(q.d1_above_segment_mean(t, k=None))
     b = collect(q.d1_correlated_sql(t, k=None))
     assert len(a) > 0 and sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_correlated_subqueries_are_analyzed_as_such_and_decorrelated(t):
+    query = q.d1_correlated_sql(t)._jdf.queryExecution()
+    analyzed, optimized = query.analyzed().toString(), query.optimizedPlan().toString()
+    assert analyzed.count("outer(segmento") >= 2 and "scalar-subquery" in analyzed
+    assert "scalar-subquery" not in optimized and "outer(" not in optimized
+
+
+def test_accounts_are_shuffled_once_on_customer_and_salt(t, spark):
+    import re
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _check_account_shuffles(t, re)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _check_account_shuffles(t, re):
+    for fn in (q.c1_no_active_loan, q.g1_deposit_candidates, q.g2_score_360, q.d1_above_segment_mean):
+        p = plan(fn(t, k=None)).split("== Initial Plan ==")[0]
+        joins = [line for line in p.splitlines() if "Exchange hashpartitioning(id_cliente" in line and "_salt" in line]
+        assert len(joins) == 2, fn.__name__  # the accounts, and the customers that they meet
+        # no join with a table of hot keys before that
+        assert not re.search(r"Join.*_salts", p), fn.__name__
