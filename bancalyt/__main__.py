@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bancalyt.plans.registry import BLOCKS, REGISTRY, run, run_all, run_block
 from bancalyt.session import configure
-from bancalyt.sources import from_testdata, load_catalog, load_jdbc, load_parquet
+from bancalyt.sources import from_testdata, load_catalog, load_jdbc, load_parquet, write_report
 from bancalyt.sources.tables import BankTables
 
 
@@ -58,7 +58,11 @@ def _emit(key: str, df: DataFrame, args) -> None:
     the query runs once."""
     if args.out:
         target = args.out if args.command == "run" else f"{args.out}/{key}"
-        df.write.mode(args.mode).format(args.format).save(target)
+        if args.format == "json":
+            d = REGISTRY[key]
+            write_report(df, target, {"id": key, "title": d.title, "block": d.block, "tables": list(d.tables)}, args.mode)
+        else:
+            df.write.mode(args.mode).format(args.format).save(target)
         if args.show:
             df = df.sparkSession.read.format(args.format).schema(df.schema).load(target)
     if args.show:

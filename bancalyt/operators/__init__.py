@@ -1,4 +1,4 @@
-from bancalyt.operators.aggregates import indicator_rates, pivot_counts, share_of_total
+from bancalyt.operators.aggregates import indicator_rates, pivot_columns, pivot_counts, share_of_total
 from bancalyt.operators.joins import (
     exclude,
     hot_keys,
@@ -14,9 +14,10 @@ from bancalyt.operators.ordering import (
     top_k,
     top_n_per_group,
 )
+from bancalyt.operators.sketches import distinct_sketches, error_bound, estimated, merged_sketches
 
 __all__ = [
-    "exclude", "hot_keys", "indicator_rates",
-    "neighbor_diff", "pivot_counts", "preaggregate_join", "rank_all", "rank_within", "salted_join",
+    "distinct_sketches", "error_bound", "estimated", "exclude", "hot_keys", "indicator_rates", "merged_sketches",
+    "neighbor_diff", "pivot_columns", "pivot_counts", "preaggregate_join", "rank_all", "rank_within", "salted_join",
     "share_of_total", "sort_spec", "spread_join", "top_k", "top_n_per_group",
 ]

@@ -31,19 +31,36 @@ def indicator_rates(df: DataFrame, keys: Sequence[str], flags: Mapping[str, str]
     ])
 
 
+#: pivot columns that the data may name
+MAX_COLUMNS = 500
+
+
+def pivot_columns(df: DataFrame, column: str, limit: int = MAX_COLUMNS) -> list[str]:
+    """The different values of ``column``, in order: one small job, whose result is
+    bounded; more than ``limit`` values are refused, not cut."""
+    found = sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect())
+    if len(found) > limit:
+        raise ValueError(f"{column} has more than {limit} values: group by it instead of making each a column")
+    return found
+
+
 def pivot_counts(df: DataFrame, rows: Sequence[str], column: str, value: str,
-                 values: Sequence[str], fill: int = 0, other: str | None = None) -> DataFrame:
+                 values: Sequence[str] | None, fill: int = 0, other: str | None = None) -> DataFrame:
     """Matrix ``rows x values`` of ``sum(value)``; a missing cell is ``fill``.
 
-    The pivot values are given, so Spark plans a single aggregation (no
-    extra job to discover the distinct values) and the output schema is
-    fixed.  ``other`` names a column for what has none of these values, so
-    that no row of ``df`` is left out of its row's cells.
+    With given pivot values Spark plans a single aggregation and the output
+    schema is fixed; ``other`` then names a column for what has none of these
+    values, so that no row of ``df`` is left out of its row's cells.  With
+    ``values=None`` the data name the columns (:func:`pivot_columns`).
     """
+    if values is None:
+        values, other = pivot_columns(df, column), None
     cells = [*values]
     if other is not None:
         cells.append(other)
         named = F.col(column).isin(*values)
         df = df.withColumn(column, F.when(named, F.col(column)).otherwise(F.lit(other)))
+    if not cells:
+        return df.select(*rows).distinct()
     wide = df.groupBy(*rows).pivot(column, cells).agg(F.sum(value))
     return wide.na.fill(fill, subset=cells)

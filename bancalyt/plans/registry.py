@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial
-from inspect import signature
+from inspect import getdoc, signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -32,6 +32,11 @@ class QueryDef:
     tables: tuple[str, ...]
     build: Builder = field(repr=False)
 
+    @property
+    def explanation(self) -> str | None:
+        """What the query computes and how: the text of its builder."""
+        return getdoc(self.build.func if isinstance(self.build, partial) else self.build)
+
     @property
     def oracle_sql(self) -> str | None:
         return ORACLE_SQL.get(self.key)
@@ -101,6 +106,8 @@ _DEFS = [
     QueryDef("j4_kpi_balance", "KPI: total balance", "dashboard", (SU, CL, CU), q.j4_kpi_balance),
     QueryDef("j5_kpi_score", "KPI: credit score", "dashboard", (CL, SC), q.j5_kpi_score),
     QueryDef("j6_kpi_overdue", "KPI: overdue loans", "dashboard", (SU, CL, PR), q.j6_kpi_overdue),
+    QueryDef("k1_distinct_holders", "Customers with accounts, by mergeable sketches", "sketches",
+             (CL, CU), q.k1_distinct_holders),
     QueryDef("source_profile", "Rows per source table", "sources",
              (CL, CU, PR, SC, SU, PV, PD, CP), source_profile),
 ]
@@ -131,11 +138,23 @@ def run(spark: SparkSession, key: str, source: BankTables | str, **params) -> Da
     return _build(REGISTRY[key], _tables(spark, source), params)
 
 
-def run_block(spark: SparkSession, block: str, source: BankTables | str, **params) -> dict[str, DataFrame]:
-    """Plan every query of a block; each takes those of ``params`` that it has."""
+#: blocks whose queries share a per-customer roll-up of the accounts
+SHARING = ("charts",)
+
+
+def run_block(spark: SparkSession, block: str, source: BankTables | str, share: bool = True,
+              **params) -> dict[str, DataFrame]:
+    """Plan every query of a block; each takes those of ``params`` that it has.
+
+    The chart queries share one roll-up of the accounts, which this call writes
+    (the accounts are scanned once); ``share=False`` plans them lazily, each over
+    the accounts themselves."""
     if block not in BLOCKS:
         raise ValueError(f"unknown block {block!r}")
-    return _run_some(spark, [d for d in _DEFS if d.block == block], source, params)
+    tables = _tables(spark, source)
+    if share and block in SHARING:
+        tables = q.with_rollup(tables)
+    return _run_some(spark, [d for d in _DEFS if d.block == block], tables, params)
 
 
 def run_all(spark: SparkSession, source: BankTables | str, **params) -> dict[str, DataFrame]:
@@ -150,13 +169,14 @@ def _run_some(spark, defs, source, params) -> dict[str, DataFrame]:
 
 
 def catalog_df(spark: SparkSession) -> DataFrame:
-    """The registry as rows: key, title, block, tables, oracle SQL."""
+    """The registry as rows: key, title, block, tables, oracle SQL, explanation."""
     schema = T.StructType([
         T.StructField("key", T.StringType()),
         T.StructField("title", T.StringType()),
         T.StructField("block", T.StringType()),
         T.StructField("tables", T.ArrayType(T.StringType())),
         T.StructField("sql", T.StringType()),
+        T.StructField("explanation", T.StringType()),
     ])
-    rows = [(d.key, d.title, d.block, list(d.tables), d.oracle_sql) for d in _DEFS]
+    rows = [(d.key, d.title, d.block, list(d.tables), d.oracle_sql, d.explanation) for d in _DEFS]
     return spark.createDataFrame(rows, schema)

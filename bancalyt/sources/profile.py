@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bancalyt.sources.schema import SCHEMAS
@@ -11,22 +14,24 @@ from bancalyt.sources.tables import BankTables
 
 def source_profile(tables: BankTables) -> DataFrame:
     """``(tabla, filas, error)``: the row count of every table, or why it cannot
-    be read.
-
-    Each count is a partial/final aggregate over its own scan; only the eight
-    one-row results meet in the union.  A table that cannot be planned or
-    counted gives a null count and the first line of its error, and does not
-    fail the others: the counts run one by one (eight small jobs)."""
-    spark, rows = None, []
+    be planned.
+
+    A lazy union of eight counts: nothing runs until the result is used.  A count
+    reads no column, so Parquet tables are counted from their footers; only one-row
+    results meet in the union.  A table that is not there, or whose columns do
+    not fit, has a null count and the first line of its error and does not fail
+    the others; a file that turns out to be broken when it is read fails the run."""
+    spark = SparkSession.getActiveSession()
+    counts = []
     for name in SCHEMAS:
+        label = F.lit(name).alias("tabla")
         try:
             df = tables.table(name)
-            spark = df.sparkSession
-            rows.append((name, df.count(), None))
+            counts.append(df.agg(F.count(F.lit(1)).alias("filas")).select(label, "filas", F.lit(None).cast("string").alias("error")))
         except Exception as error:  # noqa: BLE001 - whatever the source says is the result
-            rows.append((name, None, str(error).strip().splitlines()[0][:300] if str(error).strip() else type(error).__name__))
-    spark = spark or SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "tabla string, filas long, error string")
+            said = str(error).strip().splitlines()[0][:300] if str(error).strip() else type(error).__name__
+            counts.append(spark.range(1).select(label, F.lit(None).cast("long").alias("filas"), F.lit(said).alias("error")))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def schema_report(spark: SparkSession, tables: BankTables) -> DataFrame:

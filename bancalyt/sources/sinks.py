@@ -8,7 +8,10 @@ zero is the meaning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -24,3 +27,23 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:
     df.write.mode(mode).format(fmt).save(path)
+
+
+def write_report(df: DataFrame, path: str, metadata: Mapping[str, object], mode: str = "errorifexists") -> dict:
+    """Write the result as JSON lines and, beside them, ``_metadata.json``: ``metadata``
+    (id, title, ...), the column names and ``total``, the number of rows.
+
+    The rows are counted by the job that writes them (an observed metric), so the
+    result is computed once.  Readers of the folder skip the file, whose name
+    begins with an underscore.  Returns the metadata."""
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("total")).write.mode(mode).json(path)
+    found = {**metadata, "columns": df.columns, "total": counted.get["total"]}
+    context = df.sparkSession.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path, "_metadata.json")
+    out = file.getFileSystem(context._jsc.hadoopConfiguration()).create(file, True)
+    try:
+        out.write(bytearray(json.dumps(found, ensure_ascii=False).encode()))
+    finally:
+        out.close()
+    return found

@@ -56,6 +56,9 @@ class BankTables:
             raise ValueError(f"missing tables: {sorted(missing)}")
         self._factories = dict(factories)
         self._frames: dict[str, DataFrame] = {}
+        #: per-customer roll-up of the active accounts that the queries of a block
+        #: share, where one was written (``plans.queries.with_rollup``)
+        self.rollup: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         """The DataFrame of a logical table, by its name (``Clientes``...)."""
@@ -63,6 +66,12 @@ class BankTables:
             self._frames[name] = self._factories[name]()
         return self._frames[name]
 
+    def sharing(self, rollup: DataFrame) -> "BankTables":
+        """These tables with a roll-up that queries may read in place of accounts."""
+        other = BankTables(self._factories)
+        other._frames, other.rollup = self._frames, rollup
+        return other
+
     def __getattr__(self, attr: str) -> DataFrame:
         names = type(self).NAMES
         if attr in names:

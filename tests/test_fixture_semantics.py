@@ -274,3 +274,20 @@ def test_empty_tables_give_empty_or_zero_results(spark):
     assert collect(q.j3_kpi_customers(t)) == [(0,)]
     assert q.e2_risk_share(t).count() == 0
     assert collect(q.j6_kpi_overdue(t)) == [(0, 0)]
+
+
+def test_a_status_of_its_own_has_its_own_column(spark):
+    from bancalyt.sources.testdata import from_testdata
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    t = from_testdata(spark, SF_SMALL)
+    loans = t.prestamos.withColumn("estado", F.when(F.col("id_prestamo") % 11 == 0, "Sexto").otherwise(F.col("estado")))
+    changed = type(t).from_mapping({**dict(t.items()), "Prestamos": loans})
+    wide = q.j2_loan_pivot(changed, statuses=None)
+    states = [c for c in wide.columns if c not in ("id_sucursal", "sucursal")]
+    assert "Sexto" in states
+    sums = {r["id_sucursal"]: sum(r[c] for c in states) for r in wide.collect()}
+    want = {}
+    for r in q.h8_loan_status(changed).collect():
+        want[r["id_sucursal"]] = want.get(r["id_sucursal"], 0) + r["total"]
+    assert sums == want

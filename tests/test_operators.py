@@ -165,3 +165,26 @@ def test_rank_all_splits_a_run_of_ties_and_shuffles_rows_once_after_the_ranges(s
     got.collect()
     final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert sum(" Exchange " in line or "Exchange hash" in line for line in final.splitlines()) <= 6  # 7 with the one into ranges
+
+
+def test_pivot_columns_come_from_the_data(spark):
+    from bancalyt.operators import pivot_columns, pivot_counts
+    rows = [("x", s, n + 1) for n, s in enumerate("abcdef")] + [("y", "f", 7), ("z", None, 2)]
+    df = spark.createDataFrame(rows, "r string, s string, n long")
+    out = pivot_counts(df, ["r"], "s", "n", None).orderBy("r")
+    assert out.columns == ["r", *"abcdef"]
+    assert collect(out) == [("x", 1, 2, 3, 4, 5, 6), ("y", 0, 0, 0, 0, 0, 7), ("z", 0, 0, 0, 0, 0, 0)]
+    assert pivot_counts(df.limit(0), ["r"], "s", "n", None).collect() == []
+    with pytest.raises(ValueError, match="more than 3"):
+        pivot_columns(df, "s", limit=3)
+
+
+def test_distinct_sketches_merge_within_their_bound(spark):
+    from bancalyt.operators import distinct_sketches, error_bound, estimated, merged_sketches
+    df = spark.range(200_000).select((F.col("id") % 50_000).alias("c"), (F.col("id") % 7).alias("b"), (F.col("id") % 2).alias("p"))
+    fine = distinct_sketches(df, ["b", "p"], "c")
+    for keys in (["b"], ["p"], []):
+        exact = df.groupBy(*keys).agg(F.count_distinct("c").alias("n"))
+        got = merged_sketches(fine, keys).withColumn("e", estimated())
+        pairs = exact.join(got, keys) if keys else exact.crossJoin(got)
+        assert all(abs(r.e - r.n) <= error_bound() * r.n for r in pairs.collect())

@@ -187,3 +187,16 @@ def _check_account_shuffles(t, re):
         assert len(joins) == 2, fn.__name__  # the accounts, and the customers that they meet
         # no join with a table of hot keys before that
         assert not re.search(r"Join.*_salts", p), fn.__name__
+
+
+def test_charts_share_one_scan_of_the_accounts(t, spark):
+    from bancalyt.plans.registry import run_block
+    shared, alone = run_block(spark, "charts", t), run_block(spark, "charts", t, share=False)
+    assert set(shared) == set(alone)
+    for key, df in shared.items():
+        assert "o_custkey" not in plan(df), key  # the accounts are read for the roll-up only
+        assert sorted(collect(df), key=repr) == sorted(collect(alone[key]), key=repr), key
+    assert any("o_custkey" in plan(df) for df in alone.values())
+    # offers with other bounds than the roll-up's go to the accounts
+    other = run_block(spark, "charts", t, premium_above=20000)["h1_offer_counts"]
+    assert collect(other) == collect(q.h1_offer_counts(t, premium_above=20000))

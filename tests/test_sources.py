@@ -6,6 +6,7 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
 from bancalyt.plans.registry import BLOCKS, REGISTRY, catalog_df, run, run_all, run_block
 from bancalyt.sources import (
@@ -124,7 +125,7 @@ def test_jdbc_needs_ranges_for_large_tables(spark, monkeypatch):
     monkeypatch.setattr(jdbc, "key_range", lambda s, u, name, p: asked.append(name) or KeyRange(1, 9, 3))
     monkeypatch.setattr(jdbc, "read_jdbc_table", lambda s, u, name, p, key=None: read.append((name, key)) or
                         s.createDataFrame([], SCHEMAS[name]))
-    t = jdbc.load_jdbc(spark, "jdbc:x", {"user": "u"}, ranges={"Cuentas": KeyRange(1, 5, 2)})
+    t = jdbc.load_jdbc(spark, "jdbc:x", {"user": "u"}, ranges={"Cuentas": KeyRange(1, 5, 2)}, split="range")
     assert asked == [] and t.cuentas.count() == 0 and t.clientes.count() == 0
     assert asked == ["Clientes"] and read == [("Cuentas", KeyRange(1, 5, 2)), ("Clientes", KeyRange(1, 9, 3))]
 
@@ -227,3 +228,61 @@ def test_command_line_runs_and_writes(spark, tmp_path, capsys):
     blk = str(tmp_path / "charts")
     assert main(["run-block", "charts", "--testdata", SF_SMALL, "--out", blk]) == 0
     assert spark.read.parquet(f"{blk}/h8_loan_status").count() > 0
+
+
+def test_jdbc_predicates_split_sparse_keys_evenly(spark, monkeypatch):
+    """No database here: the cuts that the database would give are taken from a
+    frame, and the predicates are tried on it."""
+    from bancalyt.sources import jdbc, jdbc_predicates
+    keys = [1, 2, 3, 10**15, 10**15 + 1, *range(10**17, 10**17 + 7), None]
+    frame = spark.createDataFrame([(k,) for k in keys], "id_cuenta long")
+    cuts = [k for i, k in enumerate(sorted(k for k in keys if k is not None)) if i % 4 == 0]
+    parts = jdbc_predicates("Cuentas", cuts)
+    sizes = [frame.where(p).count() for p in parts]
+    assert sum(sizes) == len(keys) and sizes == [5, 4, 4]
+    assert jdbc_predicates("Cuentas", []) == jdbc_predicates("Cuentas", [7]) == ["1 = 1"]
+    sql = jdbc.cuts_query("Cuentas", 4)
+    assert "MIN(k)" in sql and "ORDER BY id_cuenta" in sql and "FROM Cuentas" in sql and "/ 4)" in sql
+    read = []
+    monkeypatch.setattr(jdbc, "key_cuts", lambda s, u, name, p: cuts)
+    monkeypatch.setattr(jdbc, "read_jdbc_cuts", lambda s, u, name, p, c: read.append((name, c)) or s.createDataFrame([], SCHEMAS[name]))
+    assert jdbc.load_jdbc(spark, "jdbc:x", {}).cuentas.count() == 0 and read == [("Cuentas", cuts)]
+    conf = jdbc.jdbc_catalog_conf("bank", "jdbc:x", {"user": "u"})
+    assert conf["spark.sql.catalog.bank.pushDownAggregate"] == conf["spark.sql.catalog.bank.pushDownLimit"] == "true"
+    assert conf["spark.sql.catalog.bank.user"] == "u"
+
+
+def test_profile_runs_nothing_before_it_is_used(spark, tmp_path):
+    t = from_testdata(spark, SF_SMALL)
+    write_parquet(t, str(tmp_path / "bank"))
+    back = load_parquet(spark, str(tmp_path / "bank"))
+    for name in SCHEMAS:
+        back.table(name)  # Parquet schemas are looked up here
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("profile", "profile")
+    df = source_profile(back)
+    assert list(tracker.getJobIdsForGroup("profile")) == []
+    p = df._jdf.queryExecution().executedPlan().toString()
+    spark.sparkContext.setJobGroup("other", "other")
+    assert p.count("ReadSchema: struct<>") == len(SCHEMAS)  # footers only
+
+
+def test_report_has_records_and_metadata_from_one_job(spark, tmp_path):
+    import json
+
+    from bancalyt.sources import write_report
+    df = spark.range(100).where("id % 3 = 0").withColumn("título", F.lit("ñ"))
+    path = str(tmp_path / "out")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("report", "report")
+    found = write_report(df, path, {"id": "x1", "title": "Año"})
+    assert len(tracker.getJobIdsForGroup("report")) == 1
+    spark.sparkContext.setJobGroup("other", "other")
+    assert found == {"id": "x1", "title": "Año", "columns": ["id", "título"], "total": 34}
+    assert json.load(open(f"{path}/_metadata.json", encoding="utf-8")) == found
+    assert spark.read.json(path).count() == 34
+
+
+def test_listing_explains_every_query(spark):
+    rows = catalog_df(spark).collect()
+    assert all(r.explanation and r.explanation[0].isupper() or r.explanation.startswith(("`", ":", "(")) for r in rows)
