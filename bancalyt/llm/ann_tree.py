@@ -5,7 +5,7 @@ A query walks the tree best bin first: a priority queue holds the nodes seen
 so far by an upper bound of the inner product in them (centroid, and radius
 times the query's length), and the best one is opened next, until enough
 leaves are visited. How many are enough is calibrated: the number is widened
-until the recall of sample queries over the sample reaches its target.
+until sample queries that the tree was not fitted on reach the target recall.
 Equal vectors are one item, with the smallest of their ids.
 """
 
@@ -123,19 +123,28 @@ class Tree:
         return out
 
 
-def calibrate(tree: Tree, vectors: np.ndarray, k: int, target: float = TARGET_RECALL) -> int:
-    """The number of leaves whose visit gives sample queries the target recall:
-    the ranks at which their true neighbours' leaves are visited are counted."""
-    queries = vectors[:: max(1, len(vectors) // CALIBRATION)]
+def held_out(vectors: np.ndarray) -> np.ndarray:
+    """Which vectors of the sample are calibration queries, and not in the tree's fit."""
+    mark = np.zeros(len(vectors), bool)
+    if len(vectors) > 1:
+        mark[:: max(2, len(vectors) // CALIBRATION)] = True
+    return mark
+
+
+def calibrate(tree: Tree, vectors: np.ndarray, queries: np.ndarray, k: int, target: float = TARGET_RECALL) -> int:
+    """The number of leaves whose visit gives the target recall to ``queries`` (marks of
+    vectors that the tree was not fitted on): the ranks at which the leaves of their
+    true neighbours among the other vectors are visited are counted."""
     filed = tree.file(vectors)
     ranks = []
-    for query in queries:
-        score = vectors @ query
-        best = filed[np.argsort(-score, kind="stable")[:k + 1]]
-        place = {leaf: i for i, (leaf, _) in enumerate(tree.visit(query))}
+    for i in np.flatnonzero(queries).tolist():
+        score = vectors @ vectors[i]
+        score[i] = -np.inf
+        best = filed[np.argsort(-score, kind="stable")[:min(k, len(vectors) - 1)]]
+        place = {leaf: j for j, (leaf, _) in enumerate(tree.visit(vectors[i]))}
         ranks += [place[x] for x in best.tolist()]
     ranks = np.sort(ranks)
-    return int(ranks[min(len(ranks) - 1, math.ceil(target * len(ranks)) - 1)]) + 1
+    return int(ranks[min(len(ranks) - 1, math.ceil(target * len(ranks)) - 1)]) + 1 if len(ranks) else 1
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -161,11 +170,12 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
     usable vectors there are no rows."""
     spark = vectors.sparkSession
     workers_find_package(spark)
-    rows = materialize(usable(vectors, column).withColumn("item", F.xxhash64("v")), "vectors")
-    by_item = Window.partitionBy("item").orderBy("vec_id")
-    items = materialize(
-        rows.withColumn("n", F.row_number().over(by_item)).where(F.col("n") <= k + 1)
-        .groupBy("item").agg(F.any_value("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")), "items")
+    rows = materialize(usable(vectors, column), "vectors")
+    # equal vectors are one item, named by the smallest of their ids
+    by_item = Window.partitionBy("v").orderBy("vec_id")
+    items = (rows.withColumn("n", F.row_number().over(by_item)).where(F.col("n") <= k + 1)
+             .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    items = materialize(items.select(F.col("ids")[0].alias("item"), "v", "ids"), "items")
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = items.select("v", F.xxhash64("item").alias("h")).orderBy("h").limit(SAMPLE).toArrow()
     if not sample.num_rows:
@@ -173,11 +183,13 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
     sizes = np.array([len(x) for x in sample.column("v").to_pylist()])
     width = int(np.bincount(sizes).argmax())
     sample = np.array([x for x in sample.column("v").to_pylist() if len(x) == width])
-    tree = Tree(sample)
-    visits = calibrate(tree, sample, k)
+    asked_of_tree = held_out(sample)
+    tree = Tree(sample[~asked_of_tree])
+    visits = calibrate(tree, sample, asked_of_tree, k)
     items = items.where(F.size("v") == width)
     rows = rows.where(F.size("v") == width)
-    asked = rows.where(is_query(F.col("vec_id"))).select("vec_id", "item")
+    asked = rows.where(is_query(F.col("vec_id"))).join(items.select(F.col("v").alias("w"), "item"), F.col("v") == F.col("w"))
+    asked = materialize(asked.select("vec_id", "item"), "asked")
     asking = materialize(items.join(asked.select("item").distinct(), "item", "left_semi").select(F.col("item").alias("q"), "v"), "queries")
     n = items.count()
     groups = min(tree.leaves, math.ceil(n / TASK_ITEMS))
@@ -210,8 +222,9 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
             yield pa.RecordBatch.from_arrays([*(c.take(of) for c in batch.columns), pa.array(leaves, pa.list_(pa.int64())), pa.array(group, pa.int64())],
                                              [*batch.schema.names, "leaves", "grp"])
 
-    # dealt anew, so that the walks of the queries are spread over the tasks
-    probes = (asking.repartition("q").mapInArrow(probe, "q long, v array<double>, leaves array<long>, grp long")
+    # dealt anew to a fixed number of tasks, so that the walks of the queries are spread
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    probes = (asking.repartition(tasks, "q").mapInArrow(probe, "q long, v array<double>, leaves array<long>, grp long")
               .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
               .withColumn("qpart", F.pmod("q", F.lit(query_parts))))
 

@@ -68,6 +68,23 @@ def test_leaves_dealt_to_several_tasks(spark, monkeypatch):
     assert set(got) == set(want) and all(len(got[q]) == 20 for q in got) and hits >= 0.9 * 20 * len(want)
 
 
+def test_recall_with_a_sample_far_below_the_table(spark, monkeypatch):
+    """At the production target, with a twentieth of the vectors in the sample."""
+    monkeypatch.setattr(ann_tree, "SAMPLE", 400)
+    monkeypatch.setattr(ann_tree, "LEAF", 16)
+    pick = np.random.default_rng(8)
+    centres = pick.normal(size=(60, 16)) * 2
+    rows = [(i, (centres[pick.integers(60)] + pick.normal(size=16)).tolist()) for i in range(8000)]
+    got = found(ann_tree.neighbours(vectors(spark, rows), lambda c: c % 100 == 0).collect())
+    every = np.array([v for _, v in rows])
+    hits = 0
+    for q, near in got.items():
+        score = every @ every[q]
+        score[q] = -np.inf
+        hits += len({i for i, _ in near} & set(np.argsort(-score)[:20].tolist()))
+    assert len(got) == 80 and hits >= 0.9 * 20 * len(got)
+
+
 def test_recall_on_the_test_table(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     got, want = found(queries.op2_ann_tree(spark, "/root/testdata/sf0.1").collect()), brute.nearest(rows, 20, 20)
