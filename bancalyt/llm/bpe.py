@@ -11,14 +11,20 @@ presence follows from the steps at which gadgets took arcs away: along the
 label's chain of left parts (whose arcs it was added beside) and the state's
 chain of right parts (whose states it was copied from).
 
-Words are encoded by a search from the start state: the longest label whose arc
-leaves is tried first, with steps back where none does and a set of states found
-dead. Arcs are not compiled beforehand but worked out from the chains when first
-asked for, and remembered. Decoding emits arc labels.
+Compiled are: a table of transitions (node, symbol) -> node over the symbols of
+labels, the label that each node completes, and per label its parts and the steps
+at which it was added and its arcs taken away. Many words are encoded at once, in
+one forward pass over their positions: as every beginning of a word has one
+tokenization, the state at a position is the last label of it; from there, each
+label that the transitions read and whose arc leaves the state sets the state at
+the position where it ends. Nothing is stepped back over. Presence of an arc is
+read from the tables of gadgets and remembered in a table of fixed size (all arcs,
+label by label, would be 2.4e9 entries). Decoding emits arc labels.
 """
 
 from __future__ import annotations
 
+import array
 import functools
 import hashlib
 import itertools
@@ -27,16 +33,22 @@ import os
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from bancalyt.llm.common import Table, blocks, workers_find_package
 
 TOKENIZER = "word_bpe_49k.json"
-#: entries of a worker's tables: arcs, runs without white space, words
-ARC_TABLE = 1 << 19
+#: entries of a worker's tables: arcs (a power of two), runs without white space, words
+ARC_TABLE = 1 << 20
 RUN_TABLE = 200_000
 WORD_TABLE = 150_000
+#: symbols of words that are encoded at once, each of at most SHORT symbols; longer
+#: words go by themselves, in pieces of PIECE symbols
+AT_ONCE = 1 << 18
+SHORT = 40
+PIECE = 1 << 16
 
 #: Unicode white space as the tokenizers' patterns know it
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -44,9 +56,9 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 
 class Automaton:
     """The compiled merges. ``labels`` maps token strings to ids, ``merges``
-    lists pairs of strings by rank."""
+    lists pairs of strings by rank; a word's last symbol carries ``end``."""
 
-    def __init__(self, labels: dict[str, int], merges: list[tuple[str, str]]):
+    def __init__(self, labels: dict[str, int], merges: list[tuple[str, str]], end: str = ""):
         size = max(labels.values()) + 1
         self.size = size
         self.left = [-1] * size
@@ -65,8 +77,40 @@ class Automaton:
             self.left[made_id], self.right[made_id], self.born[made_id] = x, y, step
             self.taken[x * size + y] = step
             self.labels[a + b] = made_id
-        self.longest = max(map(len, self.labels), default=0)
-        self.arcs: dict[int, bool] = {}
+        self._compile(labels, end)
+
+    def _compile(self, labels: dict[str, int], end: str) -> None:
+        """Tables of the transitions, and of what the gadgets did."""
+        letters = sorted({c for s in self.labels for c in s})
+        self.letters = len(letters)
+        #: code point -> symbol; a word's last symbol is ``letters`` further where words have an end
+        self.symbol = np.full(0x110000, -1, np.int32)
+        self.symbol[[ord(c) for c in letters]] = np.arange(len(letters))
+        self.ended = len(letters) if end else 0
+        self.symbols = len(letters) + self.ended
+        number = {c: i for i, c in enumerate(letters)}
+        nodes: dict[int, int] = {}
+        completes = {}
+        for text, label in self.labels.items():
+            whole = end and len(text) > len(end) and text.endswith(end)
+            path = [number[c] for c in (text[:-len(end)] if whole else text)]
+            if whole:
+                path[-1] += self.ended
+            if len(path) > 1 and not self.born[label]:
+                continue  # neither a symbol nor made by a gadget
+            node = 0
+            for x in path:
+                node = nodes.setdefault(node * self.symbols + x, len(nodes) + 1)
+            completes[node] = label
+        self.moves = np.array(sorted(nodes), np.int64)
+        self.targets = np.array([nodes[k] for k in self.moves.tolist()], np.int64)
+        self.completes = np.full(len(nodes) + 1, -1, np.int64)
+        self.completes[list(completes)] = list(completes.values())
+        self.left_of, self.right_of, self.born_at = (np.array(x, np.int64) for x in (self.left, self.right, self.born))
+        self.taken_keys = np.array(sorted(self.taken), np.int64)
+        self.taken_steps = np.array([self.taken[k] for k in self.taken_keys.tolist()], np.int64)
+        #: (state, label, whether its arc leaves) of one arc a slot
+        self.known = np.full(ARC_TABLE, -1, np.int64)
 
     def _leaves(self, x: int, y: int, before: int) -> bool:
         """Whether the arc y leaves the state that x leads to, as of the gadgets
@@ -86,57 +130,152 @@ class Automaton:
             before = min(before, born[y] + 1)
             y = self.left[y]
 
-    def arc(self, x: int, y: int) -> bool:
-        place = x * self.size + y
-        found = self.arcs.get(place)
-        if found is None:
-            if len(self.arcs) >= ARC_TABLE:
-                self.arcs.clear()
-            found = self.arcs[place] = self._leaves(x, y, 1 << 62)
-        return found
-
-    def encode(self, word: str, end: str = "") -> list[int]:
-        """Token ids of one word; its last symbol carries ``end``.
-
-        Walks from the start state along the longest arc that leaves, and steps
-        back where none does; as the automaton accepts one tokenization only,
-        the path that reaches the end is it. States found dead are not entered
-        again."""
-        labels, arcs, size, longest = self.labels, self.arcs, self.size, self.longest
-        n, at, state = len(word), 0, -1
-        ids: list[int] = []
-        lengths: list[int] = []
-        dead: set[tuple[int, int]] = set()
-        length = min(n, longest)
-        while at < n:
-            while length:
-                stop = at + length
-                label = labels.get(word[at:stop] if stop < n else word[at:] + end)
-                if label is not None:
-                    if state < 0:
-                        leaves = True
-                    else:
-                        leaves = arcs.get(state * size + label)
-                        if leaves is None:
-                            leaves = self.arc(state, label)
-                    if leaves and not (dead and (stop, label) in dead):
-                        break
-                length -= 1
-            if length:
-                ids.append(label)
-                lengths.append(length)
-                at, state = stop, label
-                length = min(n - at, longest)
-            elif ids:
-                dead.add((at, state))
-                ids.pop()
-                length = lengths.pop()
-                at -= length
-                state = ids[-1] if ids else -1
-                length -= 1
-            else:
-                raise ValueError(f"no tokens for {word!r}")
-        return ids
+    def _leave(self, keys: np.ndarray) -> np.ndarray:
+        """``_leaves`` after all gadgets, of many arcs (state * size + label) at once."""
+        out = np.ones(len(keys), bool)
+        if not len(self.taken_keys):
+            return out
+        x, y = np.divmod(keys, self.size)
+        before, rows = np.full(len(keys), np.int64(1) << 62), np.arange(len(keys))
+        while len(rows):
+            at, state, upper = rows, x[rows], before[rows]
+            while len(at):
+                place = state * self.size + y[at]
+                found = np.searchsorted(self.taken_keys, place).clip(max=len(self.taken_keys) - 1)
+                gone = (self.taken_keys[found] == place) & (self.taken_steps[found] < upper)
+                out[at[gone]] = False
+                upper, state = np.minimum(upper, self.born_at[state]), self.right_of[state]
+                more = (state >= 0) & ~gone
+                at, state, upper = at[more], state[more], upper[more]
+            rows = rows[out[rows] & (self.born_at[y[rows]] > 0)]
+            before[rows] = np.minimum(before[rows], self.born_at[y[rows]] + 1)
+            y[rows] = self.left_of[y[rows]]
+        return out
+
+    def arcs(self, states: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """Whether the arcs leave; from the start state (-1) all do."""
+        keys = states * self.size + labels
+        slots = ((keys * 0x9E3779B1) >> 12) & (ARC_TABLE - 1)
+        held = self.known[slots]
+        out = (held & 1).astype(bool)
+        new = (held >> 1 != keys) & (states >= 0)
+        if new.any():
+            some, back = np.unique(keys[new], return_inverse=True)
+            leaves = self._leave(some)
+            self.known[((some * 0x9E3779B1) >> 12) & (ARC_TABLE - 1)] = some * 2 + leaves
+            out[new] = leaves[back]
+        return out | (states < 0)
+
+    def _read(self, symbols: np.ndarray, stops: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, label) of all labels that begin at the first ``count``
+        positions of ``symbols`` and end with their word, at ``stops``, or before."""
+        start, node, length = np.arange(count), np.zeros(count, np.int64), 0
+        found = []
+        while len(start) and len(self.moves):
+            key = node * self.symbols + symbols[start + length]
+            move = np.searchsorted(self.moves, key).clip(max=len(self.moves) - 1)
+            goes = (self.moves[move] == key) & (symbols[start + length] >= 0)
+            start, node, length = start[goes], self.targets[move[goes]], length + 1
+            label = self.completes[node]
+            ends = label >= 0
+            found.append((start[ends], np.full(int(ends.sum()), length), label[ends]))
+            inner = start + length < stops[start]
+            start, node = start[inner], node[inner]
+        return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+
+    def _symbols(self, words: list[str], stops: np.ndarray) -> np.ndarray:
+        if not len(symbols := np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)):
+            return np.zeros(0, np.int64)
+        symbols = self.symbol[symbols].astype(np.int64)
+        last = stops - 1
+        symbols[last] += np.where(symbols[last] >= 0, self.ended, 0)
+        return symbols
+
+    def encode_all(self, words: list[str]) -> list[list[int]]:
+        """Token ids of every word."""
+        out: list = [None] * len(words)
+        some, total = [], 0
+        for i, word in enumerate(words):
+            if len(word) > SHORT:
+                out[i] = self._encode_long(word)
+                continue
+            if total + len(word) > AT_ONCE:
+                self._encode_short(words, some, out)
+                some, total = [], 0
+            some.append(i)
+            total += len(word)
+        self._encode_short(words, some, out)
+        return out
+
+    def _encode_short(self, words: list[str], some: list[int], out: list) -> None:
+        """One pass over the positions of all words ``some`` at once."""
+        for i in some:
+            if not words[i]:
+                out[i] = []
+        some = [i for i in some if words[i]]
+        if not some:
+            return
+        sizes = np.array([len(words[i]) for i in some])
+        stops = np.cumsum(sizes)
+        begins = stops - sizes
+        row_of = np.repeat(np.arange(len(some)), sizes)
+        start, length, label = self._read(self._symbols([words[i] for i in some], stops), stops[row_of], int(stops[-1]))
+        row = row_of[start]
+        start = start - begins[row]
+        order = np.argsort(start.astype(np.int16), kind="stable")
+        row, start, length, label = row[order], start[order], length[order], label[order]
+        width = int(sizes.max()) + 1
+        state = np.full((len(some), width), -2, np.int64)  # no label ends here (yet)
+        before = np.zeros((len(some), width), np.int64)
+        state[:, 0] = -1
+        cuts = np.searchsorted(start, np.arange(width))
+        for at, (a, b) in enumerate(itertools.pairwise(cuts.tolist())):
+            here = state[row[a:b], at]
+            reached = np.flatnonzero(here != -2)
+            reached = a + reached[self.arcs(here[reached], label[a:b][reached])]
+            state[row[reached], at + length[reached]] = label[reached]
+            before[row[reached], at + length[reached]] = at
+        rows, at = np.arange(len(some)), sizes
+        if (state[rows, at] == -2).any():
+            raise ValueError(f"no tokens for {words[some[int((state[rows, at] == -2).argmax())]]!r}")
+        ends = np.zeros(state.shape, bool)
+        while len(rows):
+            ends[rows, at] = True
+            at = before[rows, at]
+            rows, at = rows[at > 0], at[at > 0]
+        ids, cuts = state[ends].tolist(), np.cumsum(ends.sum(axis=1)).tolist()
+        for i, a, b in zip(some, [0, *cuts], cuts, strict=False):
+            out[i] = ids[a:b]
+
+    def _encode_long(self, word: str) -> list[int]:
+        """The same pass over one word, piece by piece."""
+        n = len(word)
+        symbols = self._symbols([word], np.array([n]))
+        state, before = array.array("i", [-2]) * (n + 1), array.array("i", [0]) * (n + 1)
+        state[0] = -1
+        arcs: dict[tuple[int, int], bool] = {}
+        for begin in range(0, n, PIECE):
+            count = min(PIECE, n - begin)
+            start, length, label = self._read(symbols[begin:], np.full(count, n - begin), count)
+            order = np.argsort(start, kind="stable")
+            for at, size, x in zip((start[order] + begin).tolist(), length[order].tolist(), label[order].tolist(), strict=True):
+                here = state[at]
+                if here == -2:
+                    continue
+                leaves = arcs.get((here, x))
+                if leaves is None:
+                    if len(arcs) >= PIECE:
+                        arcs.clear()
+                    leaves = arcs[here, x] = here < 0 or self._leaves(here, x, 1 << 62)
+                if leaves:
+                    state[at + size], before[at + size] = x, at
+        if state[n] == -2:
+            raise ValueError(f"no tokens for {word!r}")
+        ids, at = [], n
+        while at:
+            ids.append(state[at])
+            at = before[at]
+        return ids[::-1]
 
 
 #: below this code point, runs are lower-cased and split here, where Python and
@@ -175,7 +314,7 @@ class Tokenizer:
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.automaton = Automaton(model["vocab"], merges)
+        self.automaton = Automaton(model["vocab"], merges, self.end)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.arc_labels = {i: s for s, i in {**model["vocab"], **added}.items()}
         self.added = added
@@ -195,25 +334,30 @@ class Tokenizer:
         normal = self.library.normalizer.normalize_str(run)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        return [self.automaton.encode(w, self.end) for w in words]
-
     def _encode_runs(self, runs: list[str]) -> list[list[int]]:
         split = [self._split(r) for r in runs]
-        ids = self.words.holding({w for words in split for w in words}, self._encode_words)
+        ids = self.words.holding({w for words in split for w in words}, self.automaton.encode_all)
         return [ids[words[0]] if len(words) == 1 else [i for w in words for i in ids[w]] for words in split]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        parts = self.added_pattern.split(text) if self.added_pattern else [text]
-        for part in parts:
-            if part in self.added:
-                out.append(self.added[part])
-                continue
-            runs = self.runs_pattern.findall(part)
-            out += itertools.chain.from_iterable(map(self.runs.holding(set(runs), self._encode_runs).__getitem__, runs))
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of every text; words that are new are encoded together."""
+        added, whole = self.added, self.runs_pattern.findall
+        parts = [self.added_pattern.split(t) if self.added_pattern else [t] for t in texts]
+        runs = [[[p] if p in added else whole(p) for p in x] for x in parts]
+        ids = self.runs.holding({r for x in runs for y in x for r in y}.difference(added), self._encode_runs)
+        out = []
+        for text_parts, text_runs in zip(parts, runs, strict=True):
+            out.append([])
+            for part, some in zip(text_parts, text_runs, strict=True):
+                if part in added:
+                    out[-1].append(added[part])
+                else:
+                    out[-1].extend(itertools.chain.from_iterable(map(ids.__getitem__, some)))
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
+
     def decode(self, ids: list[int]) -> str:
         """The labels, with one space between them (the file names no decoder)."""
         labels = self.arc_labels
@@ -246,7 +390,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None
     def run(batches):
         own = load(tokenizer)
         for batch in blocks(batches, "_text"):
-            ids = [own.encode(t) for t in _texts(batch.column("_text"))]
+            ids = own.encode_all(_texts(batch.column("_text")))
             back = [pa.array([own.decode(x) for x in ids], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(carry))), pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), *back],
@@ -285,8 +429,7 @@ def report(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         decimal = {i: str(i) for i in own.arc_labels}
         for batch in blocks(batches, "text"):
             counts, first, second = [], [], []
-            for text in _texts(batch.column("text")):
-                ids = own.encode(text)
+            for ids in own.encode_all(_texts(batch.column("text"))):
                 counts.append(len(ids))
                 first.append(hashlib.sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest())
                 second.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())

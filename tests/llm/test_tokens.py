@@ -52,6 +52,21 @@ def test_bpe_equals_the_library(seed):
         assert own.decode(ids) == lib.decode(ids, skip_special_tokens=False), text
 
 
+def test_words_at_once_and_long_words(monkeypatch):
+    """Words by themselves, many at once and in pieces have the same ids, whatever the sizes of the tables."""
+    lib, pick = library(bpe.TOKENIZER), random.Random(4)
+    words = ["".join(pick.choice("aeinthrsodlg") for _ in range(pick.randint(1, 90))) for _ in range(800)]
+    want = [lib.encode(w, add_special_tokens=False).ids for w in words]
+    automaton = bpe.load(bpe.TOKENIZER).automaton
+    assert automaton.encode_all(words) == want
+    monkeypatch.setattr(bpe, "PIECE", 7)
+    monkeypatch.setattr(bpe, "AT_ONCE", 50)
+    monkeypatch.setattr(bpe, "ARC_TABLE", 64)
+    assert automaton.encode_all(words) == want
+    with pytest.raises(ValueError):
+        automaton.encode_all(["ab", "a日"])
+
+
 def test_gadgets_keep_merge_order():
     """Every word over two letters, against merging by rank."""
     import itertools
@@ -69,9 +84,10 @@ def test_gadgets_keep_merge_order():
             i = min(pairs)[1]
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
 
-    for n in range(1, 11):
-        for word in itertools.product("ab", repeat=n):
-            assert [names[i] for i in automaton.encode("".join(word))] == by_rank(word)
+    for n in range(11):
+        words = ["".join(word) for word in itertools.product("ab", repeat=n)]
+        for word, ids in zip(words, automaton.encode_all(words), strict=True):
+            assert [names[i] for i in ids] == by_rank(word) == [names[i] for i in automaton._encode_long(word)]
 
 
 ROWS = [(5, None), (1, ""), (None, "a b"), (3, "x " * 5000), (2, "hi <|endoftext|> yo"), (9, "　 é\n\n a"), (2, "again"), (2, "again")]
