@@ -8,6 +8,17 @@ Formulas (MathML) are put out as their tokens in order, a space apart; of
 drawings (SVG) the texts, a space apart, and the HTML in foreignObject. Text of a
 drawing that shows only where <use> refers to it is left out.
 
+Hidden are elements with display none, and text whose nearest element that sets a
+visibility sets hidden or collapse. Both are read from the element's style and
+from rules in <style> of the forms tag, .class, #id, tag.class and tag#id (more
+telling selectors win, then later ones, then the element's own style; other
+selectors, rules inside at-rules, !important and linked sheets are not read).
+
+Cells stand in the columns that colspan and rowspan give them, each column as
+far right as the longest cell before it asks for. Where that would make a table
+more than PADDING times as long as its text, the longest lines do not count.
+Buttons made by <input> show their value.
+
 A quote opens an attribute's value only right after its "="; where it is never
 closed it is an ordinary character, so that the rest of the page stays.
 """
@@ -15,6 +26,7 @@ closed it is an ordinary character, so that the rest of the page stays.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 
 import pyarrow as pa
@@ -58,15 +70,20 @@ BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em emb
 SCOPE = frozenset("table td th caption html button object template".split())
 #: elements nested deeper become siblings, as browsers do
 DEPTH = 200
-#: a cell is padded to its column's width, to this many characters at most
-PAD = 60
+#: length of an aligned table, as a multiple of its text, and what every table may have
+PADDING, PADDING_LEAST = 16, 1 << 14
+#: fixed limits of HTML tables
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
 
 _NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
 _VALUE = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"{0}[^\"]*+{1}\"|'{0}[^']*+{1}'|{0}[^ \t\n\r\f>]++{1})?+"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^ \t\n\r\f/>]*)"
                     r"((?:[ \t\n\r\f/]++|" + _NAME + "(?:" + _VALUE.format("", "") + r")?+)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(f"({_NAME})(?:" + _VALUE.format("(", ")") + ")?+")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*([a-z-]+)", re.I)
+_VISIBILITY = re.compile(r"(?:^|[;\s])visibility\s*:\s*([a-z-]+)", re.I)
+_SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?(?:([.#])([\w-]+))?\Z")
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -76,10 +93,74 @@ class Node:
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.children = tag, attributes, []
 
-    def hidden(self) -> bool:
+    def visible(self, inherited: bool) -> bool:
+        """Whether text right inside shows, as far as visibility goes."""
+        found = _VISIBILITY.findall(self.attributes["style"]) if "style" in self.attributes else ()
+        return found[-1].lower() not in ("hidden", "collapse") if found and found[-1].lower() != "inherit" else inherited
+
+    def hidden(self, inherited: bool = True) -> bool:
+        """Whether nothing of the element shows."""
+        if self.tag in HIDDEN:
+            return True
         a = self.attributes
-        return self.tag in HIDDEN or bool(a) and ("hidden" in a or _UNSEEN.search(a.get("style", "")) is not None
-                                                  or self.tag == "input" and a.get("type", "").lower() == "hidden")
+        if a:
+            if "hidden" in a or self.tag == "input" and a.get("type", "").lower() == "hidden":
+                return True
+            if "style" in a and (found := _DISPLAY.findall(a["style"])) and found[-1].lower() == "none":
+                return True
+        return not self.visible(inherited) and not self._shows_inside()
+
+    def _shows_inside(self) -> bool:
+        """Whether an element inside sets its visibility anew."""
+        todo = [self]
+        while todo:
+            for child in todo.pop().children:
+                if isinstance(child, Node) and child.tag not in HIDDEN:
+                    if child.visible(False):
+                        return True
+                    todo.append(child)
+        return False
+
+
+def _rules(sheet: str) -> list[tuple]:
+    """(telling, tag, kind, name, declarations) of the rules on display and visibility."""
+    out, depth, begin, head = [], 0, 0, ""
+    sheet = _CSS_COMMENT.sub(" ", sheet)
+    for match in re.finditer(r"[{}]", sheet):
+        text, begin = sheet[begin:match.start()], match.end()
+        if match[0] == "{":
+            if not depth:
+                head = text.rpartition(";")[2].strip()
+            depth += 1
+            continue
+        if depth == 1 and not head.startswith("@"):
+            kept = ";".join(m[0].strip("; \t\r\n\f") for p in (_DISPLAY, _VISIBILITY) for m in p.finditer(text))
+            for selector in head.split(",") if kept else ():
+                one = _SELECTOR.match(selector.strip())
+                if one and one[0]:
+                    tag = (one[1] or "*").lower()
+                    out.append((("", ".", "#").index(one[2] or ""), tag != "*", tag, one[2], one[3], kept))
+        depth = max(depth - 1, 0)
+    return sorted(out, key=lambda r: r[:2])
+
+
+def _apply(root: Node, sheet: str) -> None:
+    """Put the declarations of matching rules before each element's own style."""
+    rules = _rules(sheet)
+    if not rules:
+        return
+    by_name: dict[tuple, list[int]] = {}
+    for i, (_, _, tag, kind, name, _) in enumerate(rules):
+        by_name.setdefault((kind, name) if kind else tag, []).append(i)
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        todo += [c for c in node.children if isinstance(c, Node)]
+        a = node.attributes
+        names = {node.tag, "*", ("#", a.get("id")), *((".", c) for c in a.get("class", "").split())}
+        found = sorted({i for n in names for i in by_name.get(n, ()) if rules[i][2] in ("*", node.tag)})
+        if found:
+            node.attributes = {**a, "style": ";".join([*(rules[i][-1] for i in found), a.get("style", "")])}
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -97,6 +178,7 @@ def parse(page: str) -> Node:
     """The tree of a page."""
     root = Node("html", {})
     stack = [root]
+    sheets: list[str] = []
 
     def end(tags, beyond) -> None:
         """Close the innermost open one of ``tags``, unless one of ``beyond`` is in between."""
@@ -171,12 +253,15 @@ def parse(page: str) -> Node:
             continue
         if tag in RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>|\\Z", re.I).search(page, place)
+            if tag == "style" and not own:
+                sheets.append(page[place:close.start()])
             if tag not in HIDDEN:
                 node.children.append(page[place:close.start()])
             place = close.end()
         elif tag not in VOID and len(stack) < DEPTH:
             stack.append(node)
     add_text(page[place:])
+    _apply(root, "\n".join(sheets))
     return root
 
 
@@ -190,8 +275,11 @@ class Page:
         self.marker = ""
         self.gap = False
         self.at_space = True
+        self.visible = True
 
     def text(self, text: str) -> None:
+        if not self.visible:
+            return
         text = _SPACES.sub(" ", text)
         if self.at_space:
             text = text.lstrip(" ")
@@ -227,10 +315,11 @@ class Page:
 
 
 def _children(node: Node, page: Page, pre: bool) -> None:
+    outer, page.visible = page.visible, node.visible(page.visible)
     for child in node.children:
         if isinstance(child, Node):
             _render(child, page, pre)
-        elif pre:
+        elif pre and page.visible:
             first, *rest = child.split("\n")
             page.parts.append(first)
             for line in rest:
@@ -238,14 +327,20 @@ def _children(node: Node, page: Page, pre: bool) -> None:
                 page.parts = [line]
         else:
             page.text(child)
+    page.visible = outer
 
 
 def _render(node: Node, page: Page, pre: bool = False) -> None:
     tag = node.tag
-    if node.hidden():
+    if node.hidden(page.visible):
         return
     if tag == "br":
-        page.end_line(forced=True)
+        page.end_line(forced=page.visible)
+    elif tag == "input":
+        if node.attributes.get("type", "").lower() in ("submit", "reset", "button") and (value := node.attributes.get("value", "")).strip():
+            page.apart()
+            page.text(value)
+            page.apart()
     elif tag == "svg":
         _drawing(node, page)
     elif tag == "math":
@@ -264,14 +359,15 @@ def _render(node: Node, page: Page, pre: bool = False) -> None:
     elif tag in ("ul", "ol", "menu"):
         nested = bool(page.margin)
         page.block(not nested)
+        outer, page.visible = page.visible, node.visible(page.visible)
         number = int(start) if tag == "ol" and (start := node.attributes.get("start", "1")).lstrip("-").isdigit() else 1
         for child in node.children:
-            if isinstance(child, Node) and child.tag == "li" and not child.hidden():
+            if isinstance(child, Node) and child.tag == "li" and not child.hidden(page.visible):
                 page.block(False)
                 marker = f"{number}. " if tag == "ol" else "- "
                 number += 1
                 page.margin.append(" " * len(marker))
-                page.marker = marker
+                page.marker = marker if child.visible(page.visible) else ""
                 _children(child, page, pre)
                 page.end_line(forced=bool(page.marker))
                 page.margin.pop()
@@ -279,6 +375,7 @@ def _render(node: Node, page: Page, pre: bool = False) -> None:
                 _render(child, page, pre)
             elif not child.isspace():
                 page.text(child)
+        page.visible = outer
         page.block(not nested)
     elif tag in BLOCK:
         spaced = tag in SPACED and not (page.marker and not page.parts)
@@ -307,15 +404,16 @@ def _parts(node: Node) -> list:
     return node.children
 
 
-def _undrawn(node: Node) -> bool:
+def _undrawn(node: Node, page: Page) -> bool:
     a = node.attributes
-    return node.tag in UNDRAWN or node.hidden() or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
+    return node.tag in UNDRAWN or node.hidden(page.visible) or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse")
 
 
 def _drawing(node: Node, page: Page) -> None:
     """The texts of a drawing, and HTML in it."""
+    outer, page.visible = page.visible, node.visible(page.visible)
     for child in _parts(node):
-        if not isinstance(child, Node) or _undrawn(child):
+        if not isinstance(child, Node) or _undrawn(child, page):
             continue
         if child.tag in ("text", "foreignobject"):
             page.apart()
@@ -323,22 +421,26 @@ def _drawing(node: Node, page: Page) -> None:
             page.apart()
         else:
             _drawing(child, page)
+    page.visible = outer
 
 
 def _drawn_text(node: Node, page: Page, pre: bool) -> None:
+    outer, page.visible = page.visible, node.visible(page.visible)
     for child in node.children:
         if not isinstance(child, Node):
             page.text(child)
-        elif not _undrawn(child):
+        elif not _undrawn(child, page):
             if "x" in child.attributes or "y" in child.attributes:  # at a place of its own
                 page.apart()
             _drawn_text(child, page, pre)
+    page.visible = outer
 
 
 def _formula(node: Node, page: Page, begun: bool) -> bool:
     """The tokens of a formula; ``begun``, and returned, whether one was put out."""
+    outer, page.visible = page.visible, node.visible(page.visible)
     for child in _parts(node):
-        if isinstance(child, Node) and (child.tag in UNSET or child.hidden()):
+        if isinstance(child, Node) and (child.tag in UNSET or child.hidden(page.visible)):
             continue
         if isinstance(child, Node) and child.tag not in FORMULA_TOKENS:
             begun = _formula(child, page, begun)
@@ -350,6 +452,7 @@ def _formula(node: Node, page: Page, begun: bool) -> bool:
             else:
                 page.text(child)
             begun = True
+    page.visible = outer
     return begun
 
 
@@ -359,62 +462,105 @@ def _wrapped(text: str, tag: str) -> Node:
     return node
 
 
-def _rows(table: Node):
-    """Rows of a table, and whatever else it holds, as nodes."""
+def _rows(table: Node, visible: bool, first: bool = True):
+    """(row of a table or whatever else it holds, whether visible, whether a group of rows begins)."""
+    visible = table.visible(visible)
     for child in table.children:
         if not isinstance(child, Node):
-            if not child.isspace():
-                yield _wrapped(child, "div")
-        elif not child.hidden():
-            if child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
-            else:
-                yield child
+            if child.isspace():
+                continue
+            child = _wrapped(child, "div")
+        if child.hidden(visible):
+            continue
+        if child.tag in ("thead", "tbody", "tfoot"):
+            yield from _rows(child, visible)
+            first = True
+        else:
+            yield child, visible, first
+            first = first and child.tag != "tr"
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    span = cell.attributes.get(name, "1")
+    return min(int(span), most) if span.isascii() and span.isdigit() and len(span) < 9 else 1
+
+
+def _cells(row: Node, visible: bool, above: list[tuple[int, int, int]]) -> tuple[list, list]:
+    """(column, lines) of the cells of a row, and what reaches into the next row; ``above``
+    reaches into this one: (first column, column after the last, rows), by first column."""
+    cells, column, own_reach, taken = [], 0, [], 0
+    visible = row.visible(visible)
+    for cell in row.children:
+        if not isinstance(cell, Node):
+            if cell.isspace():
+                continue
+            cell = _wrapped(cell, "td")
+        if cell.hidden(visible):
+            continue
+        while taken < len(above) and above[taken][0] <= column:
+            column = max(column, above[taken][1])
+            taken += 1
+        own = Page()
+        own.visible = visible
+        (_children if cell.tag in ("td", "th") else _render)(cell, own, False)
+        own.end_line()
+        cells.append((column, own.lines))
+        after = column + max(_span(cell, "colspan", MAX_COLSPAN), 1)
+        rows = _span(cell, "rowspan", MAX_ROWSPAN) or MAX_ROWSPAN  # 0: to the end of the group
+        if rows > 1:
+            own_reach.append((column, after, rows - 1))
+        column = after
+    return cells, sorted([*((a, b, n - 1) for a, b, n in above if n > 1), *own_reach])
+
+
+def _columns(rows: list[list], limit: int) -> dict[int, int]:
+    """Where each column begins, if lines longer than ``limit`` count as ``limit``."""
+    asked: dict[int, dict[int, int]] = {c: {} for row in rows for c, _ in row}
+    for row in rows:
+        for (c, lines), (after, _) in itertools.pairwise(row):
+            longest = max(map(len, lines), default=0)
+            asked[after][c] = max(asked[after].get(c, 0), min(longest, limit))
+    at: dict[int, int] = {}
+    last = -2
+    for c in sorted(asked):
+        at[c] = last = max([last + 2, *(at[x] + size + 2 for x, size in asked[c].items())])
+    return at
 
 
 def _table(table: Node, page: Page) -> None:
     """Rows as lines: every cell begins where its column does."""
-    grid = []
-    for row in _rows(table):
+    grid, above = [], []
+    for row, visible, begins in _rows(table, page.visible):
         if row.tag != "tr":
-            grid.append(row)
+            grid.append((row, visible))
             continue
-        cells, column = [], 0
-        for cell in row.children:
-            if not isinstance(cell, Node):
-                if cell.isspace():
-                    continue
-                cell = _wrapped(cell, "td")
-            if not cell.hidden():
-                own = Page()
-                (_children if cell.tag in ("td", "th") else _render)(cell, own, False)
-                own.end_line()
-                cells.append((column, own.lines))
-                span = cell.attributes.get("colspan", "1")
-                column += min(max(int(span), 1), 1000) if span.isdigit() and len(span) < 5 else 1
+        cells, above = _cells(row, visible, [] if begins else above)
         grid.append(cells)
-    starts = sorted({c for row in grid if isinstance(row, list) for c, _ in row})
-    width = dict.fromkeys(starts, 0)
-    for row in grid:
-        for (c, lines), after in zip(row, [*row[1:], None], strict=True) if isinstance(row, list) else ():
-            if after is not None and starts.index(c) + 1 < len(starts) and starts[starts.index(c) + 1] == after[0]:
-                width[c] = max([width[c], *(min(len(x), PAD) for x in lines)])
-    at, total = {}, 0
-    for c in starts:
-        at[c] = total
-        total += width[c] + 2
+    rows = [row for row in grid if isinstance(row, list) and row]
+    length = sum(len(x) for row in rows for _, lines in row for x in lines)
+    limit = max((len(x) for row in rows for _, lines in row for x in lines), default=0)
+    while True:
+        at = _columns(rows, limit)
+        padded = sum(at[c] for row in rows for k in range(max(len(lines) for _, lines in row))
+                     for c in [max((c for c, lines in row if k < len(lines)), default=0)])
+        if padded <= PADDING * length + PADDING_LEAST or not limit:
+            break
+        limit //= 2
     for row in grid:
         if not isinstance(row, list):
-            _render(row, page)
+            outer, page.visible = page.visible, row[1]
+            _render(row[0], page)
+            page.visible = outer
             page.end_line()
             continue
         for k in range(max((len(lines) for _, lines in row), default=0)):
-            text = ""
+            parts, reached = [], 0
             for c, lines in row:
                 if k < len(lines) and lines[k]:
-                    text = text.ljust(at[c]) if len(text) <= at[c] else text + "  "
-                    text += lines[k]
-            page.line(text)
+                    gap = at[c] - reached if reached <= at[c] else 2
+                    parts += [" " * gap, lines[k]]
+                    reached += gap + len(lines[k])
+            page.line("".join(parts))
 
 
 def visible_text(page: str) -> str:
