@@ -33,8 +33,8 @@ CALIBRATION = 256
 TARGET_RECALL = 0.94
 #: part of the radius that counts in a node's bound
 REACH = 0.5
-#: vectors, and queries, that one task compares on average: neighbouring leaves
-#: are dealt together, and a leaf with more vectors to several tasks
+#: vectors, and queries, that one task compares: neighbouring leaves are dealt together,
+#: and a group of leaves with more vectors or queries of its own to several tasks
 TASK_ITEMS = 1 << 13
 TASK_QUERIES = 1 << 16
 #: pairs of vectors that are multiplied at once
@@ -162,6 +162,32 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
             .where(finite & F.exists("v", lambda x: x != 0)).distinct())
 
 
+def splits(filed: DataFrame, probes: DataFrame) -> DataFrame:
+    """(grp, parts, qparts): how many tasks share the vectors of each group of leaves, and
+    how many share its queries, by its own counts of both. A row for each group that has
+    vectors: no more than the tree has leaves, which the sample bounds."""
+    queries = probes.groupBy("grp").agg(F.count("*").alias("queries"))
+    return (filed.groupBy("grp").agg(F.count("*").alias("items")).join(queries, "grp", "left")
+            .select("grp", F.ceil(F.col("items") / TASK_ITEMS).alias("parts"),
+                    F.greatest(F.lit(1), F.ceil(F.coalesce("queries", F.lit(0)) / TASK_QUERIES)).alias("qparts")))
+
+
+def deal(filed: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with (part, qpart) of their group's tasks. Vectors are repeated only where
+    the queries of their own group need several tasks, queries only where its vectors do."""
+    counted = F.broadcast(splits(filed, probes))  # at most as many rows as the tree has leaves
+
+    def share(column: str, of: str):
+        return F.pmod(F.xxhash64(column), F.col(of))
+
+    def every(of: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+
+    filed = filed.join(counted, "grp").withColumn("part", share("item", "parts")).withColumn("qpart", every("qparts"))
+    probes = probes.join(counted, "grp").withColumn("part", every("parts")).withColumn("qpart", share("q", "qparts"))
+    return filed.drop("parts", "qparts"), probes.drop("parts", "qparts")
+
+
 def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every query row
     (condition ``is_query`` on vec_id), ties to the smaller vec_id.
@@ -193,8 +219,6 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
     asking = materialize(items.join(asked.select("item").distinct(), "item", "left_semi").select(F.col("item").alias("q"), "v"), "queries")
     n = items.count()
     groups = min(tree.leaves, math.ceil(n / TASK_ITEMS))
-    parts = math.ceil(n / (groups * TASK_ITEMS))
-    query_parts = max(1, math.ceil(asking.count() / TASK_QUERIES))
 
     def file(batches):
         for batch in batches:
@@ -203,9 +227,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
                                              [*batch.schema.names, "leaf", "grp"])
 
     least = F.col("ids")[0].alias("least")
-    filed = (items.select("item", "v", least).mapInArrow(file, "item long, v array<double>, least long, leaf long, grp long")
-             .withColumn("part", F.pmod("item", F.lit(parts)))
-             .withColumn("qpart", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_parts - 1).cast("long")))))
+    filed = materialize(items.select("item", "v", least).mapInArrow(file, "item long, v array<double>, least long, leaf long, grp long"), "filed")
 
     def probe(batches):
         """A row for each group of leaves that a query visits, with these leaves."""
@@ -224,9 +246,8 @@ def neighbours(vectors: DataFrame, is_query, k: int = K, column: str = "embeddin
 
     # dealt anew to a fixed number of tasks, so that the walks of the queries are spread
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probes = (asking.repartition(tasks, "q").mapInArrow(probe, "q long, v array<double>, leaves array<long>, grp long")
-              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-              .withColumn("qpart", F.pmod("q", F.lit(query_parts))))
+    probes = materialize(asking.repartition(tasks, "q").mapInArrow(probe, "q long, v array<double>, leaves array<long>, grp long"), "probes")
+    filed, probes = deal(filed, probes)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         """The nearest items of each query among the leaves that it visits, ties to the smaller vec_id."""

@@ -68,6 +68,22 @@ def test_leaves_dealt_to_several_tasks(spark, monkeypatch):
     assert set(got) == set(want) and all(len(got[q]) == 20 for q in got) and hits >= 0.9 * 20 * len(want)
 
 
+def test_a_hot_group_is_dealt_by_its_own_counts(spark, monkeypatch):
+    """A third of the vectors in one group: no task has much over TASK_ITEMS vectors or
+    TASK_QUERIES queries, other groups are not repeated, and each pair meets once."""
+    monkeypatch.setattr(ann_tree, "TASK_ITEMS", 100)
+    monkeypatch.setattr(ann_tree, "TASK_QUERIES", 50)
+    filed = spark.range(3000).select(F.col("id").alias("item"), F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 40).cast("long").alias("grp"))
+    probes = spark.range(400).select(F.col("id").alias("q"), F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 60).cast("long").alias("grp"))
+    left, right = ann_tree.deal(filed, probes)
+    keys = ["grp", "part", "qpart"]
+    items, asked = ({tuple(r)[:3]: r["count"] for r in x.groupBy(*keys).count().collect()} for x in (left, right))
+    assert len({k for k in items if k[0] == 0}) == 10 * 4 and max(items.values()) < 150 and max(asked.values()) < 80
+    assert {k[1:] for k in items if k[0]} == {(0, 0)} and sum(n for k, n in items.items() if k[0]) == 2000
+    pairs = right.join(left, keys).select("q", "item")
+    assert pairs.count() == pairs.distinct().count() == probes.join(filed, "grp").count()
+
+
 def test_recall_with_a_sample_far_below_the_table(spark, monkeypatch):
     """At the production target, with a twentieth of the vectors in the sample."""
     monkeypatch.setattr(ann_tree, "SAMPLE", 400)
