@@ -37,13 +37,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bancalyt.llm.common import Table, blocks, workers_find_package
+from bancalyt.llm.common import WIDE_SPACE, Table, as_bytes, blocks, release_memory, taken, wide_space, workers_find_package
+from bancalyt.llm.rolling import BYTE_VALUES, Prefix, join_texts, run_spans
 
 TOKENIZER = "word_bpe_49k.json"
-#: entries of a worker's tables: arcs (a power of two), runs without white space, words
+#: entries of a worker's tables: arcs (a power of two), runs (``rolling.run_spans``)
 ARC_TABLE = 1 << 20
 RUN_TABLE = 200_000
-WORD_TABLE = 150_000
 #: symbols of words that are encoded at once, each of at most SHORT symbols; longer
 #: words go by themselves, in pieces of PIECE symbols
 AT_ONCE = 1 << 18
@@ -193,11 +193,18 @@ class Automaton:
 
     def encode_all(self, words: list[str]) -> list[list[int]]:
         """Token ids of every word."""
+        return [np.frombuffer(ids, "<i4").tolist() for ids in self.packed(words)]
+
+    def packed(self, words: list[str]) -> list[bytes]:
+        """Token ids of every word, as little-endian 32-bit integers."""
         out: list = [None] * len(words)
         some, total = [], 0
         for i, word in enumerate(words):
+            if not word:
+                out[i] = b""
+                continue
             if len(word) > SHORT:
-                out[i] = self._encode_long(word)
+                out[i] = np.array(self._encode_long(word), "<i4").tobytes()
                 continue
             if total + len(word) > AT_ONCE:
                 self._encode_short(words, some, out)
@@ -208,44 +215,45 @@ class Automaton:
         return out
 
     def _encode_short(self, words: list[str], some: list[int], out: list) -> None:
-        """One pass over the positions of all words ``some`` at once."""
-        for i in some:
-            if not words[i]:
-                out[i] = []
-        some = [i for i in some if words[i]]
+        """One pass over the positions of all words ``some`` at once. A word has a
+        place for each position and one for its end, all in one array."""
         if not some:
             return
-        sizes = np.array([len(words[i]) for i in some])
+        held = [words[i] for i in some]
+        sizes = np.fromiter(map(len, held), np.int64, len(held))
         stops = np.cumsum(sizes)
         begins = stops - sizes
-        row_of = np.repeat(np.arange(len(some)), sizes)
-        start, length, label = self._read(self._symbols([words[i] for i in some], stops), stops[row_of], int(stops[-1]))
+        row_of = np.repeat(np.arange(len(held)), sizes)
+        start, length, label = self._read(self._symbols(held, stops), stops[row_of], int(stops[-1]))
         row = row_of[start]
-        start = start - begins[row]
-        order = np.argsort(start.astype(np.int16), kind="stable")
-        row, start, length, label = row[order], start[order], length[order], label[order]
-        width = int(sizes.max()) + 1
-        state = np.full((len(some), width), -2, np.int64)  # no label ends here (yet)
-        before = np.zeros((len(some), width), np.int64)
-        state[:, 0] = -1
-        cuts = np.searchsorted(start, np.arange(width))
-        for at, (a, b) in enumerate(itertools.pairwise(cuts.tolist())):
-            here = state[row[a:b], at]
+        inside = (start - begins[row]).astype(np.int16)
+        order = np.argsort(inside, kind="stable")
+        place = (start + row)[order]
+        length, label = length[order], label[order]
+        opens = begins + np.arange(len(held))
+        state = np.full(int(stops[-1]) + len(held), -2, np.int64)  # no label ends here (yet)
+        before = np.zeros(len(state), np.int64)
+        state[opens] = -1
+        cuts = np.searchsorted(inside[order], np.arange(int(sizes.max()) + 2))
+        for a, b in itertools.pairwise(cuts.tolist()):
+            here = state[place[a:b]]
             reached = np.flatnonzero(here != -2)
             reached = a + reached[self.arcs(here[reached], label[a:b][reached])]
-            state[row[reached], at + length[reached]] = label[reached]
-            before[row[reached], at + length[reached]] = at
-        rows, at = np.arange(len(some)), sizes
-        if (state[rows, at] == -2).any():
-            raise ValueError(f"no tokens for {words[some[int((state[rows, at] == -2).argmax())]]!r}")
-        ends = np.zeros(state.shape, bool)
-        while len(rows):
-            ends[rows, at] = True
-            at = before[rows, at]
-            rows, at = rows[at > 0], at[at > 0]
-        ids, cuts = state[ends].tolist(), np.cumsum(ends.sum(axis=1)).tolist()
+            to = place[reached] + length[reached]
+            state[to] = label[reached]
+            before[to] = place[reached]
+        at = opens + sizes
+        if (state[at] == -2).any():
+            raise ValueError(f"no tokens for {held[int((state[at] == -2).argmax())]!r}")
+        ends = np.zeros(len(state), bool)
+        while len(at):
+            ends[at] = True
+            at = before[at]
+            at = at[state[at] != -1]
+        data = state[ends].astype("<i4").tobytes()
+        cuts = (4 * np.cumsum(np.add.reduceat(ends, opens, dtype=np.int64))).tolist()
         for i, a, b in zip(some, [0, *cuts], cuts, strict=False):
-            out[i] = ids[a:b]
+            out[i] = data[a:b]
 
     def _encode_long(self, word: str) -> list[int]:
         """The same pass over one word, piece by piece."""
@@ -301,8 +309,9 @@ def _byte_symbols() -> list[str]:
 
 class Tokenizer:
     """A tokenizer file with word-end BPE: its own normalizer and word pattern,
-    and the automaton of its merges. White space is dropped by its pattern, so
-    that each run without white space can be encoded on its own."""
+    and the automaton of its merges. White space is dropped by its pattern, and
+    a mark after a letter begins a word in any case, so that each run between them
+    can be encoded on its own."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
@@ -317,47 +326,92 @@ class Tokenizer:
         self.automaton = Automaton(model["vocab"], merges, self.end)
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.arc_labels = {i: s for s, i in {**model["vocab"], **added}.items()}
-        self.added = added
-        self.added_pattern = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.runs_pattern = re.compile(f"[^{SPACE}]+")
-        self.runs, self.words = Table(RUN_TABLE), Table(WORD_TABLE)
+        self.added = {t.encode(): np.array([i], "<i4").tobytes() for t, i in added.items()}
+        self.added_pattern = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + b")") if added else None
+        self.runs = Table(RUN_TABLE)
+        held = range(max(self.arc_labels) + 1)
+        #: of each id: its label in UTF-8, and its decimal digits, with one space behind
+        self.label_bytes = pa.array([f"{self.arc_labels.get(i, '')} ".encode() for i in held], pa.large_binary())
+        self.decimals = pa.array([f"{i} ".encode() for i in held], pa.large_binary())
         self.symbols = _byte_symbols()
         split = [x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"]
         self.plain_pattern = _plain_pattern(split[0])
-
-    def _split(self, run: str) -> list[str]:
-        """The words of a run, in byte symbols."""
-        if run.isascii() or max(run) < chr(PLAIN) and unicodedata.is_normalized("NFC", run):
-            words = self.plain_pattern.findall(run.lower())
-            symbols = self.symbols
-            return [w if w.isascii() and w.isprintable() else "".join([symbols[b] for b in w.encode()]) for w in words]
-        normal = self.library.normalizer.normalize_str(run)
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def _encode_runs(self, runs: list[str]) -> list[list[int]]:
-        split = [self._split(r) for r in runs]
-        ids = self.words.holding({w for words in split for w in words}, self.automaton.encode_all)
-        return [ids[words[0]] if len(words) == 1 else [i for w in words for i in ids[w]] for words in split]
+        self.line_pattern = re.compile(self.plain_pattern.pattern + "|\n")
+
+    def forget(self) -> None:
+        """Give the table of runs back: a worker that waits holds the merges alone."""
+        self.runs = Table(RUN_TABLE)
+        release_memory()
+
+    def _spell(self, word: str) -> str:
+        """A word in byte symbols."""
+        return word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()])
+
+    def _split(self, runs: list[str]) -> tuple[list[str], list[str]]:
+        """The words of all runs, "\n" after each run, as found; and in byte symbols.
+
+        No word holds white space, so that plain runs are lower-cased and split
+        many at once, a line for each."""
+        plain, other = [], []
+        for run in runs:
+            fits = run.isascii() or max(run) < chr(PLAIN) and unicodedata.is_normalized("NFC", run)
+            (plain if fits else other).append(run)
+        found = self.line_pattern.findall("\n".join([*plain, ""]).lower())
+        spelt = {w: self._spell(w) for w in set(found)}
+        spelt["\n"] = "\n"
+        words = list(map(spelt.__getitem__, found))
+        for run in other:
+            words += [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(run))]
+            words.append("\n")
+        return [*plain, *other], words
+
+    def _encode_runs(self, runs: list[bytes]) -> list[bytes]:
+        order, words = self._split([r.decode() for r in runs])
+        distinct = list({*words} - {"\n"})
+        ids = dict(zip(distinct, self.automaton.packed(distinct), strict=True))
+        ids["\n"] = b"\xff\xff\xff\xff"  # no id
+        data = b"".join(map(ids.__getitem__, words))
+        cuts = (4 * np.flatnonzero(np.frombuffer(data, "<i4") == -1)).tolist()
+        out = {r: data[a:b] for r, a, b in zip(order, [0, *(c + 4 for c in cuts)], cuts, strict=False)}
+        return [out[r.decode()] for r in runs]
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
+        """Texts without added tokens. The runs of all texts are told apart by
+        rolling hashes; each distinct one is looked up, or encoded if new."""
+        data, begin, _ = join_texts([WIDE_SPACE.sub(b" ", t) if wide_space(t) else t for t in texts])
+        starts, stops = run_spans(data)
+        if not len(starts):
+            return [b""] * len(texts)
+        _, first, which = np.unique(Prefix(BYTE_VALUES[data]).hashes(starts, stops), return_index=True, return_inverse=True)
+        joined = data.tobytes()
+        runs = [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        found = self.runs.values(runs, self._encode_runs)
+        ids, ends = taken(pa.array(found, pa.large_binary()), which)
+        cut = ends[np.searchsorted(starts, np.append(begin, len(data)))].tolist()
+        return [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+
+    def packed(self, texts: list[bytes]) -> list[bytes]:
+        """Token ids of every text in UTF-8, as little-endian 32-bit integers;
+        what is new in the texts is encoded together."""
+        added = self.added
+        parts = [self.added_pattern.split(t) if any(a in t for a in added) else [t] for t in texts]
+        ids = iter(self._encode_plain([p for x in parts for p in x[::2]]))
+        return [next(ids) if len(x) == 1 else b"".join([added[p] if i % 2 else next(ids) for i, p in enumerate(x)]) for x in parts]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of every text; words that are new are encoded together."""
-        added, whole = self.added, self.runs_pattern.findall
-        parts = [self.added_pattern.split(t) if self.added_pattern else [t] for t in texts]
-        runs = [[[p] if p in added else whole(p) for p in x] for x in parts]
-        ids = self.runs.holding({r for x in runs for y in x for r in y}.difference(added), self._encode_runs)
-        out = []
-        for text_parts, text_runs in zip(parts, runs, strict=True):
-            out.append([])
-            for part, some in zip(text_parts, text_runs, strict=True):
-                if part in added:
-                    out[-1].append(added[part])
-                else:
-                    out[-1].extend(itertools.chain.from_iterable(map(ids.__getitem__, some)))
-        return out
+        """Token ids of every text."""
+        return [np.frombuffer(ids, "<i4").tolist() for ids in self.packed([t.encode() for t in texts])]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
+    def spelt(self, ids: np.ndarray, cuts: np.ndarray, words: pa.Array) -> list[bytes]:
+        """Of the ids of each text (all in one array, parted at ``cuts``) what
+        ``words`` (label_bytes, decimals) holds for them, one space between."""
+        data, ends = taken(words, ids)
+        cut = ends[cuts].tolist()
+        return [data[a:max(a, b - 1)] for a, b in zip(cut, cut[1:], strict=False)]
+
     def decode(self, ids: list[int]) -> str:
         """The labels, with one space between them (the file names no decoder)."""
         labels = self.arc_labels
@@ -374,8 +428,9 @@ def load(name: str) -> Tokenizer:
     return Tokenizer(name)
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [t or "" for t in column.to_pylist()]
+def _flat(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one array, and where each text's begin (one entry more)."""
+    return np.frombuffer(b"".join(packed), "<i4"), np.cumsum([0, *(len(x) // 4 for x in packed)])
 
 
 def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None = None, decoded: bool = False) -> DataFrame:
@@ -390,11 +445,12 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, carry: list[str] | None
     def run(batches):
         own = load(tokenizer)
         for batch in blocks(batches, "_text"):
-            ids = own.encode_all(_texts(batch.column("_text")))
-            back = [pa.array([own.decode(x) for x in ids], pa.string())] if decoded else []
+            ids, cuts = _flat(own.packed(as_bytes(batch.column("_text"))))
+            back = [pa.array(own.spelt(ids, cuts, own.label_bytes), pa.binary()).cast(pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(len(carry))), pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), *back],
+                [*(batch.column(i) for i in range(len(carry))), pa.array(np.diff(cuts)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)), *back],
                 [*(f"_c{i}" for i in range(len(carry))), *names])
+        own.forget()
 
     names = ["n_tokens", "ids", *["decoded"] * decoded]
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema if f.name != "_text")
@@ -426,14 +482,12 @@ def report(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
     def run(batches):
         own = load(tokenizer)
-        decimal = {i: str(i) for i in own.arc_labels}
+        digests = lambda texts: pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
         for batch in blocks(batches, "text"):
-            counts, first, second = [], [], []
-            for ids in own.encode_all(_texts(batch.column("text"))):
-                counts.append(len(ids))
-                first.append(hashlib.sha256(" ".join([decimal[i] for i in ids]).encode()).hexdigest())
-                second.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(first), pa.array(second)],
+            ids, cuts = _flat(own.packed(as_bytes(batch.column("text"))))
+            first, second = (digests(own.spelt(ids, cuts, words)) for words in (own.decimals, own.label_bytes))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(cuts)), first, second],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
