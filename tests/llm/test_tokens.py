@@ -229,3 +229,27 @@ def test_fields(spark):
     for r in rows.collect():
         assert sum(got[r.doc_id]) == len(lib.encode(f"{r.role or ''}\n{r.text or ''}", add_special_tokens=False).ids)
     assert token_spans.section_counts(rows.where("doc_id > 9")).collect() == []
+
+
+MARKED = ["word, word. Word! word's word'S x'll,'re a.b.c 1.2 f(x)=y_z~ é, é.a Straße;s  a,　b.", "H̱.H, é,é x̸,̸ ΑΣ.a x.Σ 日本.ab a.日",
+          "<|endoftext|>.a<|endoftext|>,", "a.<|startoftext|>b,c <|endoftext|", "don't, can''t o'clock'd 'tis. \n.a \t,b ..c"]
+
+
+def test_marks_after_letters_are_runs_of_their_own():
+    """A word is held and encoded once, whatever marks follow it; the ids stay the library's."""
+    for own, lib, ids in [(bpe.Tokenizer(public_tokenizers.path(bpe.TOKENIZER)), library(bpe.TOKENIZER), lambda o, t: o.encode(t)),
+                          (token_store.Encoder(public_tokenizers.path(token_store.TOKENIZER)), library(token_store.TOKENIZER),
+                           lambda o, t: np.frombuffer(o.encode(t), "<u4").tolist())]:
+        ids(own, " word, word. word! word")
+        assert {r.strip() for r in own.runs.recent} == {b"word", b",", b".", b"!"}
+        for text in [*MARKED, "".join(MARKED), *texts(7, 600)]:
+            assert ids(own, text) == lib.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_waiting_worker_holds_no_runs():
+    """Runs are held as bytes while a task works, and not at all when it has ended."""
+    own = bpe.Tokenizer(public_tokenizers.path(bpe.TOKENIZER))
+    own.encode_all(["some words, some more", "日本 é"])
+    assert own.runs.recent and all(type(x) is bytes for kv in own.runs.recent.items() for x in kv)
+    own.forget()
+    assert not own.runs.recent and not own.runs.past
