@@ -15,7 +15,6 @@ import functools
 import hashlib
 import json
 import os
-import re
 import zlib
 
 import numpy as np
@@ -24,8 +23,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bancalyt.llm.common import Table, as_bytes, blocks, new_path, workers_find_package
-from bancalyt.llm.rolling import BYTE_VALUES, Prefix, join_texts
+from bancalyt.llm.common import Table, as_bytes, blocks, new_path, taken, wide_space, workers_find_package
+from bancalyt.llm.rolling import BYTE_VALUES, Prefix, join_texts, mark_cuts
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -41,16 +40,12 @@ RUN_TABLE = 600_000
 SHARD = ("part int, shard int, dict_sha256 string, n_docs long, n_ids long, doc_ids array<long>, "
          "offsets array<long>, lengths array<long>, counts array<long>, frames binary")
 
-#: white space beyond ASCII, and bytes without which a text has none of it
-_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-_WIDE_LEADS = (b"\xc2", b"\xe1", b"\xe2", b"\xe3")
-
-
 def white_space_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin, end and text number of the runs of joined texts (one byte between
     two texts) at which the byte-level pattern splits in any case: a word with
     one space before it; of other white space before a word all but its last
-    character, and that one; white space at the end of a text."""
+    character, and that one; white space at the end of a text; what begins with
+    a mark after a letter (both ASCII)."""
     space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
     inside = np.ones(len(data) + 1, bool)
     inside[end] = False
@@ -66,7 +61,7 @@ def white_space_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tu
     plain[1:] = np.append(data == 0x20, False)[:-1] & blank[:-1]
     first = word.copy()  # the first byte of a word
     first[1:] &= ~word[:-1]
-    starts = np.flatnonzero((first & ~plain) | last | opens)
+    starts = np.flatnonzero((first & ~plain) | last | opens | np.append(mark_cuts(data), False))
     owner = np.searchsorted(begin, starts, "right") - 1
     stops = np.minimum(np.append(starts[1:], len(data)), end[owner])
     return starts, stops, owner
@@ -103,8 +98,7 @@ class Encoder:
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, given in UTF-8."""
-        whole = [any(t in text for t in self.added) or any(x in text for x in _WIDE_LEADS) and _WIDE_SPACE.search(text) is not None
-                 for text in texts]
+        whole = [any(t in text for t in self.added) or wide_space(text) for text in texts]
         out = [b""] * len(texts)
         plain = [i for i, w in enumerate(whole) if not w]
         for i, ids in zip(plain, self._encode_plain([texts[i] for i in plain]), strict=True):
@@ -122,18 +116,10 @@ class Encoder:
         _, first, which = np.unique(Prefix(BYTE_VALUES[data]).hashes(starts, stops), return_index=True, return_inverse=True)
         joined = data.tobytes()
         runs = [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
-        found = list(map(self.runs.recent.get, runs))
-        if None in found:
-            table = self.runs.holding({r for r, f in zip(runs, found, strict=True) if f is None}, self._ids)
-            found = [table[r] if f is None else f for r, f in zip(runs, found, strict=True)]
-        flat = np.frombuffer(b"".join(found), "<u4")
-        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        offset = (np.cumsum(counts) - counts)[which]
-        counts = counts[which]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.repeat(offset - total[:-1], counts) + np.arange(total[-1])]
-        cut = total[np.searchsorted(owner, np.arange(len(texts) + 1))].tolist()
-        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
+        found = self.runs.values(runs, self._ids)
+        ids, ends = taken(pa.array(found, pa.large_binary()), which)
+        cut = ends[np.searchsorted(owner, np.arange(len(texts) + 1))].tolist()
+        return [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
     def _ids(self, runs: list[bytes]) -> list[bytes]:
         """The ids of each run. Words with one space before them are encoded
